@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, url_filters
+from . import exact_dedup, packing, token_codec, url_filters
 
 QUERIES = {
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op5_url_filters": url_filters.op5_url_filters,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op8_token_codec": token_codec.op8_token_codec,
 }
 
 ORACLES = {
