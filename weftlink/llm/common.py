@@ -6,14 +6,33 @@ import atexit
 import math
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        top = Path(__file__).resolve().parents[1]
+        name = Path(tempfile.mkdtemp(prefix="weftlink-")) / f"{top.name}.zip"
+        with zipfile.ZipFile(name, "w") as archive:
+            for p in sorted(top.rglob("*.py")):
+                archive.write(p, p.relative_to(top.parent))
+        context.addPyFile(str(name))
+        _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; only Spark opens it, so any store Spark can read will do."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,6 +57,7 @@ class Scratch:
     """Tables written to the shared folder, which cut lineage and survive lost executors."""
 
     def __init__(self, spark: SparkSession):
+        ship(spark)
         self.spark = spark
         self.base = f"{shared_folder(spark)}/weftlink-{uuid.uuid4().hex}"
         atexit.register(self.clear)
