@@ -113,7 +113,8 @@ def attach(rows: DataFrame, facts: DataFrame, key: str, weight: str, n_rows: int
     found = F.col(f"__h_{weight}").isNotNull()
     kind = dict(facts.dtypes)[key]
     salted = F.xxhash64(F.col(spread))
-    probe = F.when(found, salted.cast(kind) if kind != "string" else F.concat(F.lit("~"), salted.cast("string"))).otherwise(F.col(key))
+    salted = F.unhex(F.hex(salted)) if kind == "binary" else F.concat(F.lit("~"), salted.cast("string")) if kind == "string" else salted.cast(kind)
+    probe = F.when(found, salted).otherwise(F.col(key))
     both = rows.join(F.broadcast(hot), key, "left").withColumn("__probe", probe).withColumn("__hot", found)
     both = both.join(cold, (F.col("__probe") == F.col("__key")) & ~F.col("__hot"), "left")
     return both.select(*rows.columns, *[F.when(F.col("__hot"), F.col(f"__h_{c}")).otherwise(F.col(f"__c_{c}")).alias(c) for c in names])

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, token_codec, url_filters
+from . import exact_dedup, lang_id, packing, sharding, token_codec, url_filters
 
 QUERIES = {
+    "op1_lang_id": lang_id.op1_lang_id,
+    "op2_kd_sharding": sharding.op2_kd_sharding,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op5_url_filters": url_filters.op5_url_filters,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
