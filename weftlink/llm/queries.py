@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, lang_id, packing, sharding, token_codec, url_filters
+from . import decontaminate, exact_dedup, lang_id, line_dedup, packing, sharding, token_codec, url_filters
 
 QUERIES = {
     "op1_lang_id": lang_id.op1_lang_id,
@@ -11,6 +11,8 @@ QUERIES = {
     "op5_url_filters": url_filters.op5_url_filters,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op8_token_codec": token_codec.op8_token_codec,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
 ORACLES = {
