@@ -127,3 +127,20 @@ BROADCAST_ROWS = 200_000
 def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``most`` rows; else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def keep_rows(docs: DataFrame, judged: DataFrame, text: str, id: str) -> DataFrame:
+    """``docs`` without the rows that ``judged`` (__id, __sha, kept) drops; rows it lacks stay.
+
+    Rows that repeat both id and text are told apart by nothing: if one of them is to stay, one does.
+    """
+    gone = judged.where("not kept").select("__id", "__sha").distinct()
+    marked = docs.withColumn("__text_sha", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    same = lambda keys: marked[id].eqNullSafe(keys["__id"]) & (marked["__text_sha"] == keys["__sha"])
+    listed = small(gone)
+    left = marked.join(listed, same(listed), "left_anti")
+    back = judged.where("kept").select("__id", "__sha").intersect(gone)
+    if back.take(1):
+        back = small(back)
+        left = left.unionByName(marked.join(back, same(back), "left_semi").dropDuplicates([id, "__text_sha"]))
+    return left.select(*docs.columns)

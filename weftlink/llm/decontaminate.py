@@ -85,6 +85,16 @@ class Index:
         self.known = np.zeros(1 << _BITS, bool)
         self.known[self.grams >> np.uint64(64 - _BITS)] = True
 
+    def search_long(self, text: str) -> list[tuple[int, int, int, int]]:
+        """search() of one long text, in windows that overlap by more than any place of an item."""
+        overlap = 2 * max(map(len, self.texts), default=0) + 2 * int(self.budget.max(initial=0)) + Q
+        best: dict[int, tuple[int, int, int, int]] = {}
+        for a in range(0, max(1, len(text) - overlap), 2 * SPAN):
+            for key, start, end, edits in self.search([text[a : a + 2 * SPAN + overlap]])[0]:
+                one = (edits, a + start, a + end, key)
+                best[key] = min(best.get(key, one), one)
+        return [(key, start, end, edits) for edits, start, end, key in sorted(best.values(), key=lambda m: m[3])]
+
     def search(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """Per normalised text (item id, start, end, edits) of each item in it: its best place, then the first."""
         found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
@@ -175,8 +185,14 @@ def _finder(shared):
             held: list[str] = []
             size = 0
             for text in batch:
-                held.append(normalise(text) if isinstance(text, str) else "")
-                size += len(held[-1])
+                plain = normalise(text) if isinstance(text, str) else ""
+                if len(plain) > 4 * SPAN:
+                    out += shared.value.search(held) if held else []
+                    held, size = [], 0
+                    out.append(shared.value.search_long(plain))
+                    continue
+                held.append(plain)
+                size += len(plain)
                 if size >= SPAN:
                     out += shared.value.search(held)
                     held, size = [], 0

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, attach, small, table
+from .common import Scratch, attach, keep_rows, small, table
 
 #: Fingerprints held by the merged filter of one range, on average.
 RANGE_FINGERPRINTS = 250_000
@@ -157,17 +157,7 @@ def deduplicate(docs: DataFrame, text: str = "text", id: str = "doc_id") -> Data
     """``docs`` without the rows that an equal text with a larger id makes redundant; all columns stay."""
     scratch = Scratch(docs.sparkSession)
     judged = scratch.keep(group_copies(docs, text, id).where("group_size > 1").select(F.col(id).alias("__id"), F.col("text_sha256").alias("__sha"), "kept"), "judged")
-    gone = judged.where("not kept").select("__id", "__sha").distinct()
-    marked = docs.withColumn("__sha", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-    same = lambda keys: F.col(id).eqNullSafe(keys["__id"]) & (marked["__sha"] == keys["__sha"])
-    gone = small(gone)
-    left = marked.join(gone, same(gone), "left_anti")
-    # Of rows that repeat both id and text all went; one of them comes back if it was to stay.
-    back = judged.where("kept").select("__id", "__sha").intersect(judged.where("not kept").select("__id", "__sha"))
-    if back.take(1):
-        back = small(back)
-        left = left.unionByName(marked.join(back, same(back), "left_semi").dropDuplicates([id, "__sha"]))
-    return left.select(*docs.columns)
+    return keep_rows(docs, judged, text, id)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

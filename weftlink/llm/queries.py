@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, lang_id, line_dedup, packing, sharding, token_codec, url_filters
+from . import decontaminate, exact_dedup, lang_id, line_dedup, ngram_join, packing, sharding, token_codec, url_filters
 
 QUERIES = {
     "op1_lang_id": lang_id.op1_lang_id,
     "op2_kd_sharding": sharding.op2_kd_sharding,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_url_filters": url_filters.op5_url_filters,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op8_token_codec": token_codec.op8_token_codec,
