@@ -4,20 +4,56 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from weftlink.llm import decontaminate, exact_dedup, lang_id, ngram_join, packing
 from weftlink.llm.common import Scratch, table
-from weftlink.llm.exact_dedup import deduplicate
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Documents go whose language is this uncertain, or that have no letter.
+LEAST_SCORE = 0.5
+
+
+def reject_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled rows teach stay; without labelled rows all stay."""
+    names, matrix = lang_id.fit(docs)
+    if not names:
+        return docs
+    found = lang_id.predict(docs.select(F.struct("*").alias("__doc"), F.col("text").alias("__text")), names, matrix, "__text")
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("__doc.*")
+
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal text only the one with the largest id goes on."""
-    return deduplicate(docs)
+    """Of documents with equal text only the one with the largest id stays."""
+    return exact_dedup.deduplicate(docs)
+
+
+def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of similar documents the one with the smallest id stays."""
+    return ngram_join.one_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item stay."""
+    found = decontaminate.find_items(docs.select(F.struct("*").alias("__doc"), F.col("text").alias("__text")), table(spark, sf_dir, "benchmark"), "__text", out="__leaks")
+    return found.where(F.size("__leaks") == 0).select("__doc.*")
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of all documents left in sequences of at most 2048 ids."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES: list[tuple[str, Stage]] = [("exact dedup", drop_copies)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language id", reject_language),
+    ("exact dedup", drop_copies),
+    ("n-gram jaccard join", drop_similar),
+    ("benchmark decontamination", drop_leaks),
+    ("best-fit packing", pack_documents),
+]
 
 #: Language identification, similarity by MinHash and tokenization are beyond SQL; tests hold each stage against brute force.
 ORACLE_SQL = None

@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-PATH_BITS, WORD_BITS, NUMBERS, HIDDEN = 8, 6, 5, 24
+PATH_BITS, WORD_BITS, NUMBERS, HIDDEN = 9, 6, 5, 24
 INPUTS = (1 << PATH_BITS) + (1 << WORD_BITS) + NUMBERS
 #: Generated pages and passes over them: the bound of training.
-TRAIN_PAGES, EPOCHS, SEED = 640, 5, 11
+TRAIN_PAGES, EPOCHS, SEED = 1200, 5, 11
 
 # Element names of the HTML standard.
 BLOCK_TAGS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe label legend li main menu nav noscript ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split())
@@ -155,7 +155,7 @@ def vectors(blocks: list[tuple[tuple, str, int]]) -> np.ndarray:
             at.append(b)
         counts = np.bincount(at, minlength=1 << WORD_BITS)
         x[k, first : first + (1 << WORD_BITS)] = counts / np.sqrt((counts * counts).sum())
-        x[k, -NUMBERS:] = (np.log1p(len(words)) / 5, linked / len(text), np.log1p(sum(map(text.count, ".!?"))) / 3, k / len(blocks), 1 / (1 + k))
+        x[k, -NUMBERS:] = (np.log1p(len(words)) / 5, linked / len(text), min(1.0, sum(map(text.count, ".!?")) / 5), k / len(blocks), 1 / (1 + k))
     return x
 
 
@@ -280,11 +280,12 @@ def generated_page(rng: np.random.Generator) -> tuple[str, list[str]]:
     pick = lambda x: x[int(rng.integers(len(x)))]
     chance = lambda p: rng.random() < p
     word = lambda: "".join(pick(SYLLABLES) for _ in range(int(rng.integers(1, 5))))
-    mark = ["", "", "", "***", "###", "%%%", "&amp;&amp;", "$$$"]
-    odd = chance(0.15)
+    # Some pages shout or trail marks after every word; that tells nothing of a block's part.
+    marks = pick([[""]] * 5 + [["!!"], ["***", "###", "%%%", "$$$", "&amp;&amp;"], ["", "!", "?"], ["", ",", ".", ":"], [" |"], [" 7", "", " 19.", " @x"]])
+    loud = chance(0.12)
 
     def words(low: int, high: int, extra: list[str] = ()) -> str:
-        own = [word() + (pick(mark) if odd else "") for _ in range(int(rng.integers(low, high)))]
+        own = [(word().upper() if loud else word()) + pick(marks) for _ in range(int(rng.integers(low, high)))]
         if extra and chance(0.6):
             own[: int(rng.integers(1, 4))] = [pick(extra) for _ in range(int(rng.integers(1, 4)))]
         return " ".join(own) + pick([".", ".", "", "!", "?"])
@@ -333,7 +334,9 @@ def generated_page(rng: np.random.Generator) -> tuple[str, list[str]]:
         for _ in range(int(rng.integers(1, 16))):
             kind = rng.random()
             if kind < 0.72:
-                parts.append(f"<p>{inline(keep(words(1, 60)))}" + ("</p>" if chance(0.9) else ""))
+                text = words(1, pick([3, 12, 60, 120]))
+                for _ in range(int(rng.integers(2, 6)) if chance(0.06) else 1):  # passages repeat
+                    parts.append(f"<p>{inline(keep(text))}" + ("</p>" if chance(0.9) else ""))
             elif kind < 0.80:
                 parts.append("".join(f"<h2>{keep(words(1, 8))}</h2>" for _ in "a"))
             elif kind < 0.88:
@@ -371,9 +374,10 @@ def trained(pages: int = TRAIN_PAGES, epochs: int = EPOCHS, seed: int = SEED) ->
             data.append((vectors(blocks), _labels(blocks, main)))
     model, seen, moved, t = Labeller(rng), {}, {}, 0
     for epoch in range(epochs):
+        order = rng.permutation(len(data))
         for a in range(0, len(data), 16):
-            batch = [data[k] for k in np.random.default_rng(seed + epoch).permutation(len(data))[a : a + 16]]
-            _, grad = model.step([x for x, _ in batch], [y for _, y in batch])
+            batch = [data[k] for k in order[a : a + 16]]
+            _, grad = model.step([_blurred(x, rng) for x, _ in batch], [y for _, y in batch])
             size, t = np.sqrt(sum(float((g * g).sum()) for g in grad.values())), t + 1
             rate = 0.01 * (1 - 0.8 * epoch / max(1, epochs - 1))
             for k, g in grad.items():
@@ -384,6 +388,14 @@ def trained(pages: int = TRAIN_PAGES, epochs: int = EPOCHS, seed: int = SEED) ->
     return model
 
 
+def _blurred(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Without the words of half the blocks, and with shaken numbers, so that paths come to matter most."""
+    x = x.copy()
+    x[rng.random(len(x)) < 0.5, 1 << PATH_BITS : -NUMBERS] = 0
+    x[:, -NUMBERS:] *= rng.uniform(0.7, 1.3, (len(x), NUMBERS)).astype(np.float32)
+    return x
+
+
 def _labels(blocks: list[tuple[tuple, str, int]], main: list[str]) -> np.ndarray:
     """1 for the blocks of ``main``, matched in order; text that the page's end cut counts, too."""
     out, at = np.zeros(len(blocks), np.float32), 0
