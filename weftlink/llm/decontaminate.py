@@ -27,7 +27,7 @@ INDEX_CHARS = 2_000_000
 #: Characters of texts scanned at a time.
 SPAN = 1 << 20
 _BITS = 22
-_GAP = "￿"  # between texts; in no item
+_GAP = "\uffff"  # between texts; in no item
 
 
 def normalise(text: str) -> str:

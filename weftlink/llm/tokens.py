@@ -20,7 +20,7 @@ REMEMBERED = 1_000_000
 SPAN = 1 << 20
 
 #: White space other than the space and the newline, and controls some libraries take for it.
-_ODD = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　\0]")
+_ODD = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\0]")
 
 
 class _Table(dict):
