@@ -1,0 +1 @@
+"""A PySpark-native entity-resolution engine."""
