@@ -46,7 +46,7 @@ def write_tsv(df: DataFrame, path: str, order: list[F.Column], header: bool = Fa
 
 
 def write_all(entities: DataFrame, decisions: DataFrame, path: str, header: bool = False) -> None:
-    id, cycle = F.col("entity_id"), F.col("cycle").cast("int")
+    id, cycle = F.col("entity_id"), F.col("cycle").try_cast("int")
     write_tsv(matching_results(entities, decisions), f"{path}/matching_results.tsv", [id], header)
     write_tsv(candidate_pairs(entities, decisions), f"{path}/candidate_pairs.tsv", [id], header)
     write_tsv(candidate_pairs_per_cycle(entities, decisions), f"{path}/candidate_pairs_per_cycle.tsv", [id, cycle], header)

@@ -339,10 +339,10 @@ def candidate_pairs_per_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outputs.candidate_pairs_per_cycle(*_events(spark, sf_dir))
 
 
-@query(f"WITH {_DECISIONS} SELECT DISTINCT d0.entity_id FROM d0 WHERE entity_id NOT IN (SELECT entity_id FROM d0 WHERE accepted)")
+@query(f"WITH {_DECISIONS} SELECT DISTINCT d0.entity_id FROM d0 WHERE entity_id NOT IN (SELECT entity_id FROM d0 WHERE accepted AND cycle = 2)")
 def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     entities, made = _events(spark, sf_dir)
-    return state.pending(entities, made.where("accepted").select("entity_id").distinct())
+    return state.pending(entities, made.where("accepted and cycle = 2").select("entity_id").distinct())
 
 
 @query(f"WITH {_DECISIONS} SELECT a.entity_id, a.cand_id, a.seq FROM d0 a WHERE NOT EXISTS (SELECT 1 FROM d0 b WHERE b.accepted AND a.entity_id = b.entity_id AND a.cand_id = b.cand_id)")
