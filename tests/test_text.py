@@ -67,3 +67,11 @@ def test_settings(spark):
     spark.conf.set("spark.weftlink.dag_k_base", "9")
     assert Settings.load({"DAG_K_BASE": "7"}, spark).dag_k_base == 9
     spark.conf.unset("spark.weftlink.dag_k_base")
+
+
+def test_sql_functions(spark):
+    from weftlink.functions import register
+
+    register(spark)
+    row = spark.sql("SELECT jaro_winkler('martha', 'marhta') AS j, metaphone_codes('smith') AS m, fold_ascii('Café') AS f, to_itrans('राम') AS t").first()
+    assert (round(row.j, 4), row.m, row.f, row.t) == (0.9611, ["SM0"], "Cafe", "rAma")
