@@ -4,30 +4,14 @@ from __future__ import annotations
 
 import atexit
 import math
-import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once for each application."""
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        top = Path(__file__).resolve().parents[1]
-        name = Path(tempfile.mkdtemp(prefix="weftlink-")) / f"{top.name}.zip"
-        with zipfile.ZipFile(name, "w") as archive:
-            for p in sorted(top.rglob("*.py")):
-                archive.write(p, p.relative_to(top.parent))
-        context.addPyFile(str(name))
-        _shipped.add(context.applicationId)
+from ..sources.scratch import delete, shared_folder
+from ..sources.shipping import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,23 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``.
-
-    Where that is unset, a local master gets a temporary folder and a cluster the
-    warehouse, which is shared by definition.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        base = f"file://{tempfile.mkdtemp(prefix='weftlink-')}"
-    else:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_weftlink_scratch"
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
-
-
 class Scratch:
     """Tables written to the shared folder, which cut lineage and survive lost executors."""
 
@@ -70,19 +37,14 @@ class Scratch:
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more."""
         for name in names:
-            self._delete(f"{self.base}/{name}")
+            delete(self.spark, f"{self.base}/{name}")
 
     def clear(self) -> None:
         try:
-            self._delete(self.base)
+            delete(self.spark, self.base)
         except Exception:  # the session has ended; the store's own expiry takes over
             pass
 
-    def _delete(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
 
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
