@@ -1,7 +1,7 @@
 """N-gram Jaccard join with Bayesian candidate pruning.
 
 Documents are sets of word n-grams. Sets are equal or share one of the rarest n-grams of each
-(prefix filter, exact) if their similarity reaches the threshold; such pairs are candidates.
+(prefix and length filters, exact) if their similarity reaches the threshold; such pairs are candidates.
 MinHash values of a pair are compared a few at a time, and the pair is dropped as soon as the
 posterior probability that it reaches the threshold falls below a tolerance; what is left is
 verified exactly.
@@ -157,7 +157,7 @@ def common_grams(docs: DataFrame, text: str, words: int, least: int) -> tuple[np
 
 
 def prefix(grams: np.ndarray, common: tuple[np.ndarray, np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """The rarest n-grams of a set, as many as sets of the threshold cannot all miss, and if they are common.
+    """The rarest n-grams of a set, rarest first, as many as sets of the threshold cannot all miss, and if they are common.
 
     Sets x and y of that similarity share at least threshold * |x| n-grams, so the
     |x| - ceil(threshold * |x|) + 1 first of each in any common order share one.
@@ -173,11 +173,12 @@ def prefix(grams: np.ndarray, common: tuple[np.ndarray, np.ndarray], threshold:
     if often.any():
         order = np.where(often, np.uint64(1 << 63) + (counts[at].astype(np.uint64) << np.uint64(24)) + (turned >> np.uint64(40)), order)
     first = np.argpartition(order, size - 1)[:size] if size < n else np.arange(n)
+    first = first[np.lexsort((grams[first], order[first]))]
     return grams[first], often[first]
 
 
 def _sketch(docs: DataFrame, common, words: int, threshold: float) -> DataFrame:
-    """row, sha, sig, n, hashes, grams and common of every document with words."""
+    """sha, sig, n, hashes (the first STEP, then the others), grams and common of every text with words."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -187,19 +188,20 @@ def _sketch(docs: DataFrame, common, words: int, threshold: float) -> DataFrame:
                 sets = shingle_sets(part["text"].tolist(), words)
                 keep = [k for k, x in enumerate(sets) if len(x)]
                 firsts = [prefix(sets[k], shared.value, threshold) for k in keep]
+                hashes = [min_hashes(sets[k]) for k in keep]
                 yield pd.DataFrame(
                     {
-                        "row": part["row"].to_numpy()[keep],
                         "sha": part["sha"].to_numpy()[keep],
                         "sig": [_signature(sets[k]) for k in keep],
                         "n": [len(sets[k]) for k in keep],
-                        "hashes": [min_hashes(sets[k]).tobytes() for k in keep],
+                        "first": [x[:STEP].tobytes() for x in hashes],
+                        "others": [x[STEP:].tobytes() for x in hashes],
                         "grams": [g.view(np.int64) for g, _ in firsts],
                         "common": [c for _, c in firsts],
                     }
                 )
 
-    return docs.mapInPandas(run, "row long, sha string, sig binary, n int, hashes binary, grams array<long>, common array<boolean>")
+    return docs.mapInPandas(run, "sha string, sig binary, n int, first binary, others binary, grams array<long>, common array<boolean>")
 
 
 def _signature(grams: np.ndarray) -> bytes:
@@ -207,55 +209,82 @@ def _signature(grams: np.ndarray) -> bytes:
     return hashlib.md5(grams.tobytes()).digest()
 
 
+_MEMBER = ("key", "row", "n", "pos")
+
+
 def _lists(sets: DataFrame) -> DataFrame:
-    """key, row, anchor: members of every prefix n-gram that two or more sets have, and one of them.
+    """key, row, n, pos, anchor, anchor_n, anchor_pos: members of every prefix n-gram of two or more sets, and one of them.
 
-    Common n-grams are few and their lists long: their anchors are found by partial aggregation
-    and broadcast. Others have short lists, which are swept in order of the key.
+    ``pos`` is the n-gram's place in its set's order. The anchor has the smallest: the fewest
+    n-grams of its own. Common n-grams are few and their lists long: their anchors are found by
+    partial aggregation and broadcast. Others have short lists, which are swept in order of the key.
     """
-    postings = sets.select("row", F.explode(F.arrays_zip("grams", "common")).alias("g")).select("row", F.col("g.grams").alias("key"), F.col("g.common").alias("common"))
-    turn = F.xxhash64("row", F.pmod("key", F.lit(8)))  # eight orders, so a member meets up to eight anchors
-    often = postings.where("common").select("row", "key", turn.alias("turn"))
-    heads = often.groupBy("key").agg(F.min(F.struct("turn", F.col("row").alias("anchor"))).alias("head"), F.count("*").alias("n")).where("n > 1").select("key", F.col("head.anchor").alias("anchor"))
-    long = often.join(small(heads, 1_000_000), "key").select("key", "row", "anchor")
+    postings = sets.select("row", "n", F.posexplode(F.arrays_zip("grams", "common")).alias("pos", "g")).select(F.col("g.grams").alias("key"), "row", "n", "pos", F.col("g.common").alias("common"))
+    often = postings.where("common").select(*_MEMBER)
+    heads = often.groupBy("key").agg(F.min(F.struct("pos", "row", "n")).alias("head"), F.count("*").alias("members")).where("members > 1")
+    heads = heads.select("key", F.col("head.row").alias("anchor"), F.col("head.n").alias("anchor_n"), F.col("head.pos").alias("anchor_pos"))
+    long = often.join(small(heads, 1_000_000), "key")
 
     def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = np.empty((2, 0), np.int64)  # rows of a key that may go on in the next batch
+        last = np.empty((4, 0), np.int64)  # rows of a key that may go on in the next batch
         for batch in batches:
-            both = np.concatenate([last, np.stack([batch["key"].to_numpy(np.int64), batch["row"].to_numpy(np.int64)])], axis=1)
-            end = np.searchsorted(both[0], both[0][-1]) if both.shape[1] else 0
-            yield runs(both[:, :end])
-            last = both[:, end:]
+            all_ = np.concatenate([last, np.stack([batch[c].to_numpy(np.int64) for c in _MEMBER])], axis=1)
+            end = np.searchsorted(all_[0], all_[0][-1]) if all_.shape[1] else 0
+            yield runs(all_[:, :end])
+            last = all_[:, end:]
         yield runs(last)
 
-    def runs(both: np.ndarray) -> pd.DataFrame:
-        key, row = both
+    def runs(all_: np.ndarray) -> pd.DataFrame:
+        key = all_[0]
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
         sizes = np.diff(np.r_[first, len(key)])
-        return pd.DataFrame({"key": key, "row": row, "anchor": np.repeat(row[first], sizes)})[np.repeat(sizes > 1, sizes)]
+        heads = np.repeat(all_[1:, first], sizes, axis=1)
+        return pd.DataFrame(dict(zip((*_MEMBER, "anchor", "anchor_n", "anchor_pos"), (*all_, *heads), strict=True)))[np.repeat(sizes > 1, sizes)]
 
-    rare = postings.where("not common").select("key", "row").repartition("key").sortWithinPartitions("key", "row")
-    return rare.mapInPandas(sweep, "key long, row long, anchor long").unionByName(long)
+    rare = postings.where("not common").select(*_MEMBER).repartition("key").sortWithinPartitions("key", "pos", "row")
+    return rare.mapInPandas(sweep, "key long, row long, n int, pos int, anchor long, anchor_n int, anchor_pos int").unionByName(long)
+
+
+def _may_reach(n: tuple[str, str], pos: tuple[str, str], threshold: float) -> F.Column:
+    """If sets of these sizes can reach the threshold when this n-gram is the first they share, at these places.
+
+    They must share threshold / (1 + threshold) of both sizes, and have no more left than from
+    these places on. A pair that reaches the threshold passes at its first shared n-gram.
+    """
+    x, y = n
+    need = F.lit(threshold / (1 + threshold)) * (F.col(x) + F.col(y)) - 1e-6
+    sizes = F.least(x, y) >= F.lit(threshold) * F.greatest(x, y) - 1e-6
+    return sizes & (F.least(F.col(x) - F.col(pos[0]), F.col(y) - F.col(pos[1])) >= need)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratch, name: str, words: int, threshold: float, tolerance: float) -> DataFrame:
     """Pairs (a, b) of rows that reach the threshold: pruned by MinHash, then verified on the whole sets."""
     steps = least_matches(threshold, tolerance)
 
-    def prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            x, y = (np.frombuffer(b"".join(batch[c]), np.uint32).reshape(len(batch), HASHES) for c in ("x", "y"))
-            left, same, at = np.arange(len(batch)), np.zeros(len(batch), np.int64), 0
-            for n, need in steps:
-                same[left] += (x[left, at:n] == y[left, at:n]).sum(axis=1)
-                left, at = left[same[left] >= need], n
-            yield batch[["a", "b"]].iloc[left]
-
-    one, two = (sets.select(F.col("row").alias(r), F.col("n").alias(f"n{r}"), F.col("hashes").alias(h)) for r, h in (("a", "x"), ("b", "y")))
-    sized = pairs.join(one, "a").join(two, "b").where(F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - 1e-6)
-    likely = scratch.keep(sized.select("a", "b", "x", "y").mapInPandas(prune, "a long, b long"), f"{name}_likely")
+    def compare(own: list[tuple[int, int]]):
+        """Goes on through these steps of values x and y; ``same`` counts matches so far."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if not len(batch):
+                    continue
+                x, y = (np.frombuffer(b"".join(batch[c]), np.uint32).reshape(len(batch), -1) for c in ("x", "y"))
+                left, same, at = np.arange(len(batch)), batch["same"].to_numpy(np.int64).copy(), 0
+                for n, need in own:
+                    to = at + STEP
+                    same[left] += (x[left, at:to] == y[left, at:to]).sum(axis=1)
+                    left, at = left[same[left] >= need], to
+                yield batch[["a", "b"]].assign(same=same).iloc[left]
+
+        return run
+
+    # Few values travel with all pairs, the others only with pairs that the first leave in.
+    left = pairs.select("a", "b", F.lit(0).alias("same"))
+    for part, own in (("first", steps[:1]), ("others", steps[1:])):
+        one, two = (sets.select(F.col("row").alias(r), F.col(part).alias(h)) for r, h in (("a", "x"), ("b", "y")))
+        left = left.join(one, "a").join(two, "b").select("a", "b", "same", "x", "y").mapInPandas(compare(own), "a long, b long, same int")
+        left = scratch.keep(left, f"{name}_{part}")
+    likely = left.select("a", "b")
 
     wanted = likely.select(F.col("a").alias("row")).union(likely.select("b")).distinct().join(sets.select("row", "sha"), "row")
     wanted = scratch.keep(wanted, f"{name}_wanted")
@@ -310,7 +339,7 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
     Two documents are linked if the Jaccard similarity of their sets of word n-grams is at least
     ``threshold``; a class is a component of links. ``class_id`` is its smallest id and the row
     with it (the first read, if several) is the class's ``representative``. ``copy_id`` is the
-    same for documents with equal sets; those are never paired. ``n_links`` counts the verified
+    same for documents with equal sets (their smallest id); those are never paired. ``n_links`` counts the verified
     links of the document's set to other sets: enough links to span every class, so each pair of
     different sets that reaches the threshold shares a class. A null or empty text, or one without
     words, is alone in its class; a text shorter than ``words`` words is one n-gram. Null ids are
@@ -318,33 +347,32 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
     """
     scratch = Scratch(docs.sparkSession)
     whole = F.coalesce(F.col(text), F.lit(""))
+    every = scratch.keep(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias(id), F.sha2(whole, 256).alias("sha")), "every")
+    n_docs = every.count()
     base = docs.select(F.sha2(whole, 256).alias("sha"), whole.alias("text"))
-    narrow = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias(id), F.sha2(whole, 256).alias("sha"), whole.alias("text"))
-    n_docs = docs.count()
     common = common_grams(docs, text, words, max(LEAST_COMMON, math.ceil(n_docs * COMMON_SHARE)))
-    every = scratch.keep(narrow.select("row", F.col(id), "sha"), "every")
-    # One sketch for each distinct text; equal sets of different texts meet next.
-    first = every.groupBy("sha").agg(F.min("row").alias("row"), F.count("*").alias("copies"))
-    twice = every.join(first.where("copies > 1").select("sha", F.col("row").alias("__first")), "sha").where("row <> __first").select("row")
-    sketched = scratch.keep(_sketch(narrow.select("row", "sha", "text"), common, words, threshold), "sketched")
-    own = scratch.keep(first.join(sketched.select("row", "sig", "n"), "row"), "own")
-    heads = own.groupBy("sig").agg(F.min("row").alias("head"))
-    member = scratch.keep(own.join(heads, "sig").select("sha", "copies", "head"), "member")
-    sets = scratch.keep(sketched.join(own.join(heads, "sig").where("row = head").select("row"), "row", "left_semi"), "sets")
-    scratch.drop("sketched")
+    # Sets are numbered as they are written; one set stands for equal texts, then for equal sets.
+    sketched = scratch.keep(_sketch(base, common, words, threshold).withColumn("row", F.monotonically_increasing_id()), "sketched")
+    own = scratch.keep(sketched.groupBy("sha", "sig").agg(F.min("row").alias("row")), "own")
+    heads = scratch.keep(own.groupBy("sig").agg(F.min("row").alias("head")), "heads")
+    copies = every.groupBy("sha").agg(F.count("*").alias("copies"))
+    member = own.join(heads, "sig").select("sha", "head").join(copies, "sha")
+    gone = sketched.select("row").join(heads.select(F.col("head").alias("row")), "row", "left_anti")
+    sets = sketched.join(small(scratch.keep(gone, "gone"), 1_000_000), "row", "left_anti")
 
     lists = scratch.keep(_lists(sets), "lists")
-    pairs = scratch.keep(lists.where("row <> anchor").select(F.least("row", "anchor").alias("a"), F.greatest("row", "anchor").alias("b")).distinct(), "pairs")
+    pairs = lists.where((F.col("row") != F.col("anchor")) & _may_reach(("n", "anchor_n"), ("pos", "anchor_pos"), threshold))
+    pairs = scratch.keep(pairs.select(F.least("row", "anchor").alias("a"), F.greatest("row", "anchor").alias("b")).distinct(), "pairs")
     links = _verified(pairs, sets, base, scratch, "links", words, threshold, tolerance)
     parts = components(links, scratch, "parts")
 
     # Members of a list that are still in different components are compared with one another.
-    placed = lists.select("key", "row").join(parts, "row", "left").select("key", "row", F.coalesce("component", "row").alias("part"))
+    placed = lists.select(*_MEMBER).join(small(parts), "row", "left").select(*_MEMBER, F.coalesce("component", "row").alias("part"))
     mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
     open_ = scratch.keep(placed.join(mixed, "key"), "open")
     main = open_.groupBy("key", "part").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "part")).alias("main")).select("key", F.col("main.part").alias("main"))
-    light = open_.join(main, "key").where("part <> main").select("key", F.col("row").alias("r1"), F.col("part").alias("p1"), "main")
-    across = light.join(open_, "key").where((F.col("part") != F.col("p1")) & ((F.col("part") == F.col("main")) | (F.col("row") < F.col("r1"))))
+    light = open_.join(main, "key").where("part <> main").select("key", F.col("row").alias("r1"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("part").alias("p1"), "main")
+    across = light.join(open_, "key").where((F.col("part") != F.col("p1")) & ((F.col("part") == F.col("main")) | (F.col("row") < F.col("r1"))) & _may_reach(("n", "n1"), ("pos", "pos1"), threshold))
     left = across.select(F.least("row", "r1").alias("a"), F.greatest("row", "r1").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     more = _verified(scratch.keep(left, "left"), sets, base, scratch, "more", words, threshold, tolerance)
     links = links.unionByName(more)
@@ -353,13 +381,20 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
     degree = links.select(F.col("a").alias("row")).union(links.select("b")).groupBy("row").agg(F.count("*").alias("n_links"))
     facts = member.join(parts, member["head"] == parts["row"], "left").drop("row").join(degree, member["head"] == degree["row"], "left").select("sha", "copies", "head", F.coalesce("component", "head").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     told = scratch.keep(attach(every, scratch.keep(facts, "facts"), "sha", "copies", n_docs, "row"), "told")
-    told = told.withColumn("head", F.coalesce("head", "row")).withColumn("component", F.coalesce("component", "row"))
-    best = scratch.keep(told.groupBy("component").agg(F.min(F.struct(id, "row")).alias("best"), F.count("*").alias("members")), "best")
-    copy = told.where("row = head").select(F.col("row").alias("__head"), F.col(id).alias("copy_id"))
-    shared = scratch.keep(told.where("row <> head").groupBy("head").agg(F.count("*").alias("n")).join(copy, F.col("head") == F.col("__head")).select("head", "copy_id", "n"), "shared")
+    # A text without words has no set: it is a class of its own, told apart by a number below zero.
+    told = told.withColumn("component", F.coalesce("component", -1 - F.col("row")))
+    best = scratch.keep(told.groupBy("component").agg(F.min(F.struct(id, "row")).alias("best"), F.count("*").alias("members")).where("members > 1"), "best")
+    shared = scratch.keep(told.where("head is not null").groupBy("head").agg(F.min(id).alias("copy_id"), F.count("*").alias("n")).where("n > 1"), "shared")
     out = attach(told, best, "component", "members", n_docs, "row")
-    out = attach(out, shared, "head", "n", n_docs, "row")
-    return out.select("row", F.col(id), "sha", F.coalesce("copy_id", F.col(id)).alias("copy_id"), F.col(f"best.{id}").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("row") == F.col("best.row")).alias("representative"))
+    out = attach(out.withColumn("head", F.coalesce("head", -1 - F.col("row"))), shared, "head", "n", n_docs, "row")
+    alone = F.col("best").isNull()
+    return out.select(
+        "row", F.col(id), "sha",
+        F.coalesce("copy_id", F.col(id)).alias("copy_id"),
+        F.when(alone, F.col(id)).otherwise(F.col(f"best.{id}")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        (alone | (F.col("row") == F.col("best.row"))).alias("representative"),
+    )
 
 
 def one_of_each(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
