@@ -33,8 +33,8 @@ from .tokens import Encoder
 
 END_ID = 2
 #: Ids after which a block ends with the document at hand.
-BLOCK_IDS = 1 << 19
-LANES = 1024
+BLOCK_IDS = 1 << 21
+LANES = 8192
 MAGIC = b"WFT1"
 
 _TOTAL = 28  # bits of the coder's probabilities

@@ -15,7 +15,7 @@ from collections import deque
 import numpy as np
 
 #: Chunks remembered by a worker, about 220 bytes each; then the older half makes room.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_600_000
 #: Characters handled at a time: bounds the chunk lists of very long texts.
 SPAN = 1 << 20
 
