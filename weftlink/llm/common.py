@@ -14,9 +14,21 @@ from ..sources.scratch import delete, shared_folder
 from ..sources.shipping import ship
 
 
+#: Rows that go to a Python worker at a time; whole texts are long, and workers hold a few copies of a batch.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ships the package, and bounds the batches of this session's Python workers."""
+    ship(spark)
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; only Spark opens it, so any store Spark can read will do."""
-    ship(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -24,7 +36,7 @@ class Scratch:
     """Tables written to the shared folder, which cut lineage and survive lost executors."""
 
     def __init__(self, spark: SparkSession):
-        ship(spark)
+        prepare(spark)
         self.spark = spark
         self.base = f"{shared_folder(spark)}/weftlink-{uuid.uuid4().hex}"
         atexit.register(self.clear)
