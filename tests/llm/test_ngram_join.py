@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 from weftlink.llm import ngram_join
-from weftlink.llm.ngram_join import least_matches, min_hashes, one_of_each, prefix, shingle_sets, similar
+from weftlink.llm.ngram_join import count_links, least_matches, min_hashes, one_of_each, prefix, shingle_sets, similar
 
 from .conftest import prose
 
@@ -72,6 +72,39 @@ def test_brute_force(spark, monkeypatch):
     assert {r.doc_id: r.copy_id for r in got} == {id: min(by.get(naive(t), [id])) for id, t in rows}
 
 
+def links(rows):
+    sets = [naive(t) for _, t in rows]
+    return {id: sum(1 for j, b in enumerate(sets) if j != k and a and b and len(a & b) >= 0.8 * len(a | b) - 1e-12) for k, ((id, _), a) in enumerate(zip(rows, sets, strict=True))}
+
+
+def test_every_link_counts(spark, monkeypatch):
+    rows = corpus()
+    big = prose(778, 120).split()
+    for k in range(300):  # near copies that share few of the rarest n-grams, some of them twice
+        own = list(big)
+        own[(7 * k) % 120] = f"new{k}"
+        rows += [(1000 + 3 * k + j, " ".join(own) if j else " ".join(own).upper()) for j in range(1 + (k % 5 == 0))]
+    want = links(rows)
+    assert sorted(want.values())[-300] > 250
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 50)  # large components are several blocks
+    got = similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: r.n_links for r in got} == want
+
+
+def test_count_links():
+    rng = np.random.default_rng(1)
+    whole = rng.integers(0, 2**63, 60).astype(np.uint64)
+    sets = [np.unique(np.r_[whole[rng.random(60) > 0.06], rng.integers(0, 2**63, rng.integers(0, 5)).astype(np.uint64)]) for _ in range(150)]
+    sets += [np.array([k], np.uint64) for k in range(5)]  # n-grams that no other set has
+    weights = rng.integers(1, 4, len(sets)).astype(float)
+    alike = np.array([[len(np.intersect1d(x, y)) >= 0.8 * len(np.union1d(x, y)) - 1e-12 for y in sets] for x in sets])
+    for sizes in ({}, {"tile": 40, "panel": 7, "frequent": 3}, {"tile": 33, "frequent": 1000}):
+        assert (count_links(sets, weights, 0, 0.8, **sizes) == alike @ weights).all()
+        across = alike.copy()
+        across[:70, :70] = across[70:, 70:] = False
+        assert (count_links(sets, weights, 70, 0.8, **sizes) == across @ weights).all()
+
+
 def test_parts():
     texts = [prose(1, 30), None, "", " a ", "a b c d e f", "A b c\nd e f"]
     sets = shingle_sets(texts)

@@ -10,6 +10,9 @@ A group of copies makes no pairs: equal sets are one representative, every n-gra
 compared with one of its members first, and only members that these links leave in different
 components are compared with one another. So no link is lost between components, and the number
 of pairs follows the number of documents as long as similar documents form groups.
+
+Every link lies within a component. Links are counted there, all sets with all: blocks of sets are
+multiplied as matrices of n-grams, and only the counts leave the worker.
 """
 
 from __future__ import annotations
@@ -36,6 +39,10 @@ COMMON_SHARE, LEAST_COMMON = 1 / 500, 50
 _COUNTERS = 22
 #: Characters handled at a time.
 SPAN = 1 << 19
+#: About so many sets, or n-grams, of a component are in one block when its links are counted.
+BLOCK_SETS, BLOCK_GRAMS = 4096, 1 << 20
+#: Sets and n-grams multiplied at a time, and members from which on an n-gram is a column.
+TILE, PANEL, FREQUENT = 1024, 4096, 16
 _B = 0x9E3779B97F4A7C15
 
 
@@ -257,8 +264,8 @@ def _may_reach(n: tuple[str, str], pos: tuple[str, str], threshold: float) -> F.
     return sizes & (F.least(F.col(x) - F.col(pos[0]), F.col(y) - F.col(pos[1])) >= need)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratch, name: str, words: int, threshold: float, tolerance: float) -> DataFrame:
-    """Pairs (a, b) of rows that reach the threshold: pruned by MinHash, then verified on the whole sets."""
+def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratch, name: str, words: int, threshold: float, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of rows that reach the threshold, pruned by MinHash, then verified on the whole sets; and those sets (row, grams)."""
     steps = least_matches(threshold, tolerance)
 
     def compare(own: list[tuple[int, int]]):
@@ -308,7 +315,115 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scrat
             yield batch[["a", "b"]].assign(similarity=keep)[np.array(keep, float) >= threshold - 1e-12]
 
     met = likely.join(grams.select(F.col("row").alias("a"), F.col("grams").alias("x")), "a").join(grams.select(F.col("row").alias("b"), F.col("grams").alias("y")), "b")
-    return scratch.keep(met.select("a", "b", "x", "y").mapInPandas(exact, "a long, b long, similarity double"), name)
+    return scratch.keep(met.select("a", "b", "x", "y").mapInPandas(exact, "a long, b long, similarity double"), name), grams
+
+
+def count_links(sets: list[np.ndarray], weights: np.ndarray, split: int, threshold: float, tile: int = TILE, panel: int = PANEL, frequent: int = FREQUENT) -> np.ndarray:
+    """Per set the weight of the sets that reach the threshold with it.
+
+    With ``split`` the sets before it are compared with those from it on; with 0 all are compared
+    with all, themselves included.
+    """
+    n = np.array([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), n)
+    _, column, members = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    many = members > (frequent if len(sets) > 64 else 1)
+    place = np.cumsum(many) - 1
+    width = int(many.sum())
+    # An n-gram of many sets is a column of a matrix; the pairs of one of few sets are listed.
+    dense, sparse = many[column], (members[column] > 1) & ~many[column]
+    if width:
+        row, col = owner[dense], place[column[dense]]
+    else:
+        row = col = np.empty(0, np.int64)
+    few_row, few_col = owner[sparse], column[sparse]
+
+    def part(own: np.ndarray, columns: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = np.searchsorted(own, (low, high))
+        order = np.argsort(columns[a:b], kind="stable")
+        return own[a:b][order] - low, columns[a:b][order]
+
+    def matrix(own: tuple[np.ndarray, np.ndarray], height: int, first: int) -> np.ndarray:
+        a, b = np.searchsorted(own[1], (first, first + panel))
+        out = np.zeros((height, min(panel, width - first)), np.float32)
+        out[own[0][a:b], own[1][a:b] - first] = 1
+        return out
+
+    def listed(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], shared: np.ndarray) -> None:
+        for k in range(0, len(x[1]), 1 << 16):
+            r, c = x[0][k : k + (1 << 16)], x[1][k : k + (1 << 16)]
+            start, end = np.searchsorted(y[1], c, "left"), np.searchsorted(y[1], c, "right")
+            size = end - start
+            at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
+            cells, hits = np.unique(np.repeat(r, size) * shared.shape[1] + y[0][at], return_counts=True)
+            shared.reshape(-1)[cells] += hits.astype(np.float32)
+
+    out = np.zeros(len(sets), np.int64)
+    lows = [(a, min(a + tile, split)) for a in range(0, split, tile)]
+    highs = [(a, min(a + tile, len(sets))) for a in range(split, len(sets), tile)]
+    for x in lows or highs:
+        x_dense, x_few = part(row, col, *x), part(few_row, few_col, *x)
+        for y in highs:
+            if not split and y < x:
+                continue
+            y_dense, y_few = part(row, col, *y), part(few_row, few_col, *y)
+            shared = np.zeros((x[1] - x[0], y[1] - y[0]), np.float32)  # exact: far below 2 ** 24
+            for first in range(0, width, panel):
+                shared += matrix(x_dense, x[1] - x[0], first) @ matrix(y_dense, y[1] - y[0], first).T
+            listed(x_few, y_few, shared)
+            both = n[x[0] : x[1], None] + n[None, y[0] : y[1]] - shared.astype(np.float64)
+            if x == y:
+                np.fill_diagonal(shared, n[x[0] : x[1]])  # n-grams of one set alone are in no column
+                np.fill_diagonal(both, n[x[0] : x[1]])
+            hit = (shared / both >= threshold - 1e-12).astype(np.float64)
+            out[x[0] : x[1]] += (hit @ weights[y[0] : y[1]]).astype(np.int64)
+            if x != y:
+                out[y[0] : y[1]] += (weights[x[0] : x[1]] @ hit).astype(np.int64)
+    return out
+
+
+def _degrees(parts: DataFrame, sets: DataFrame, grams: DataFrame, weights: DataFrame, scratch: Scratch, threshold: float) -> DataFrame:
+    """row, linked: the weight (documents) of the sets that reach the threshold with it, its own included.
+
+    A large component is cut into blocks by a hash of the row, and every two of its blocks meet in
+    one group: what is shipped grows with the blocks of a component, not with its pairs.
+    """
+    placed = scratch.keep(parts.join(sets.select("row", "n"), "row").select("row", "component", "n"), "placed")
+    sizes = placed.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks")).where("blocks > 1")
+    blocks = F.coalesce("blocks", F.lit(1))
+    cut = placed.join(small(sizes), "component", "left").select("row", "component", F.pmod(F.xxhash64("row"), blocks).cast("int").alias("own"), blocks.alias("blocks"))
+    met = cut.select("row", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    met = met.select("row", "component", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    met = met.join(weights.select(F.col("head").alias("row"), "weight"), "row").join(grams, "row")
+    met = met.select("component", "x", "y", "own", "row", "weight", "grams").repartition("component", "x", "y").sortWithinPartitions("component", "x", "y", "own")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []  # rows of a group that may go on in the next batch
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = batch[["component", "x", "y"]].to_numpy(np.int64)
+            first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+            if held and (held[-1][["component", "x", "y"]].iloc[-1].to_numpy(np.int64) != keys[0]).any():
+                yield group(held)
+                held = []
+            for a, b in zip(first, np.r_[first[1:], len(batch)], strict=True):
+                held.append(batch.iloc[a:b])
+                if b < len(batch):
+                    yield group(held)
+                    held = []
+        if held:
+            yield group(held)
+
+    def group(held: list[pd.DataFrame]) -> pd.DataFrame:
+        all_ = held[0] if len(held) == 1 else pd.concat(held)
+        split = 0 if all_["x"].iat[0] == all_["y"].iat[0] else int((all_["own"] == all_["x"]).sum())
+        if split == len(all_) or all_["x"].iat[0] != all_["y"].iat[0] and not split:  # the other block is empty
+            return pd.DataFrame({"row": all_["row"], "linked": 0})
+        found = count_links([np.frombuffer(x, np.uint64) for x in all_["grams"]], all_["weight"].to_numpy(np.float64), split, threshold)
+        return pd.DataFrame({"row": all_["row"].to_numpy(), "linked": found})
+
+    return met.mapInPandas(run, "row long, linked long").groupBy("row").agg(F.sum("linked").alias("linked"))
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -333,17 +448,17 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return labels
 
 
-def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, count: bool = True) -> DataFrame:
     """One row per document: row, id, sha, copy_id, class_id, n_links, representative.
 
     Two documents are linked if the Jaccard similarity of their sets of word n-grams is at least
     ``threshold``; a class is a component of links. ``class_id`` is its smallest id and the row
     with it (the first read, if several) is the class's ``representative``. ``copy_id`` is the
-    same for documents with equal sets (their smallest id); those are never paired. ``n_links`` counts the verified
-    links of the document's set to other sets: enough links to span every class, so each pair of
-    different sets that reaches the threshold shares a class. A null or empty text, or one without
-    words, is alone in its class; a text shorter than ``words`` words is one n-gram. Null ids are
-    below all others. An empty table gives no rows.
+    same for documents with equal sets (their smallest id). ``n_links`` is the number of other
+    documents linked to the document, those with equal sets included; with ``count`` false it is
+    null. A null or empty text, or one without words, is alone in its class and has no links; a
+    text shorter than ``words`` words is one n-gram. Null ids are below all others. An empty table
+    gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -363,7 +478,7 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
     lists = scratch.keep(_lists(sets), "lists")
     pairs = lists.where((F.col("row") != F.col("anchor")) & _may_reach(("n", "anchor_n"), ("pos", "anchor_pos"), threshold))
     pairs = scratch.keep(pairs.select(F.least("row", "anchor").alias("a"), F.greatest("row", "anchor").alias("b")).distinct(), "pairs")
-    links = _verified(pairs, sets, base, scratch, "links", words, threshold, tolerance)
+    links, grams = _verified(pairs, sets, base, scratch, "links", words, threshold, tolerance)
     parts = components(links, scratch, "parts")
 
     # Members of a list that are still in different components are compared with one another.
@@ -374,12 +489,19 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
     light = open_.join(main, "key").where("part <> main").select("key", F.col("row").alias("r1"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("part").alias("p1"), "main")
     across = light.join(open_, "key").where((F.col("part") != F.col("p1")) & ((F.col("part") == F.col("main")) | (F.col("row") < F.col("r1"))) & _may_reach(("n", "n1"), ("pos", "pos1"), threshold))
     left = across.select(F.least("row", "r1").alias("a"), F.greatest("row", "r1").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = _verified(scratch.keep(left, "left"), sets, base, scratch, "more", words, threshold, tolerance)
+    more, others = _verified(scratch.keep(left, "left"), sets, base, scratch, "more", words, threshold, tolerance)
     links = links.unionByName(more)
     parts = components(links, scratch, "classes")
 
-    degree = links.select(F.col("a").alias("row")).union(links.select("b")).groupBy("row").agg(F.count("*").alias("n_links"))
-    facts = member.join(parts, member["head"] == parts["row"], "left").drop("row").join(degree, member["head"] == degree["row"], "left").select("sha", "copies", "head", F.coalesce("component", "head").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    if count:
+        weights = scratch.keep(member.groupBy("head").agg(F.sum("copies").alias("weight")), "weights")
+        grams = grams.unionByName(others.join(grams.select("row"), "row", "left_anti"))
+        degree = scratch.keep(_degrees(parts, sets, grams, weights, scratch, threshold), "degree")
+        # A set without a link to another one has those of its own documents.
+        degree = weights.join(degree, weights["head"] == degree["row"], "left").select(F.col("head").alias("row"), (F.coalesce("linked", "weight") - 1).alias("n_links"))
+    facts = member.join(parts, member["head"] == parts["row"], "left").drop("row")
+    facts = facts.join(degree, facts["head"] == degree["row"], "left") if count else facts.withColumn("n_links", F.lit(None).cast("long"))
+    facts = facts.select("sha", "copies", "head", F.coalesce("component", "head").alias("component"), "n_links")
     told = scratch.keep(attach(every, scratch.keep(facts, "facts"), "sha", "copies", n_docs, "row"), "told")
     # A text without words has no set: it is a class of its own, told apart by a number below zero.
     told = told.withColumn("component", F.coalesce("component", -1 - F.col("row")))
@@ -392,7 +514,7 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
         "row", F.col(id), "sha",
         F.coalesce("copy_id", F.col(id)).alias("copy_id"),
         F.when(alone, F.col(id)).otherwise(F.col(f"best.{id}")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        (F.coalesce("n_links", F.lit(0)) if count else F.lit(None).cast("long")).alias("n_links"),
         (alone | (F.col("row") == F.col("best.row"))).alias("representative"),
     )
 
@@ -400,7 +522,7 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
 def one_of_each(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each class of similar ones, the representative; all columns stay."""
     scratch = Scratch(docs.sparkSession)
-    judged = similar(docs, text, id).select(F.col(id).alias("__id"), F.col("sha").alias("__sha"), F.col("representative").alias("kept"))
+    judged = similar(docs, text, id, count=False).select(F.col(id).alias("__id"), F.col("sha").alias("__sha"), F.col("representative").alias("kept"))
     return keep_rows(docs, scratch.keep(judged, "judged"), text, id)
 
 
