@@ -17,6 +17,15 @@ def test_blocks():
     assert H.blocks_of('<div class="a-b c" id=d><a href=x>li nk</a> z')[0] == ((("div", ("a", "b", "c", "d")),), "li nk z", 5)
 
 
+def test_open_head_and_self_closed():
+    text = lambda page: [t for _, t, _ in H.blocks_of(page)]
+    assert text("<html><head><meta charset=x><title>t</title><script>s</script> <p>a<p>b</html>") == ["a", "b"]
+    assert text("<head><link rel=x>\n<style>p{}</style> a <b>b</b><p>c") == ["a b", "c"]
+    assert text("<head><title>t</title></head><body><p>a") == ["a"]
+    assert text('<div><svg/>a<math class="x"/>b<svg><path d=x /><text>no</text></svg>c</div>') == ["abc"]
+    assert text("<div>a<svg class=x/>no</svg>b</div>") == ["ab"]  # the slash is the value's
+
+
 def test_gradient():
     rng = np.random.default_rng(0)
     model = H.Labeller(rng)

@@ -30,12 +30,14 @@ TRAIN_PAGES, EPOCHS, SEED = 1200, 5, 11
 BLOCK_TAGS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe label legend li main menu nav noscript ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN_TAGS = frozenset("script style noscript template title textarea svg math iframe object canvas audio video head".split())
+HEAD_TAGS = frozenset("html head base basefont bgsound link meta title noscript noframes script style template".split())
 RAW_TAGS = frozenset("script style title textarea noscript iframe template".split())
 CLOSES_P = BLOCK_TAGS - {"button", "label", "option", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "html", "body", "head"}
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)""", re.S)
 _ATTRIBUTES = re.compile(r"""\b(class|id|role|hidden|aria-label|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_UNQUOTED_END = re.compile(r"""=\s*[^\s"'>]+$""")
 _TOKENS = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 
@@ -55,7 +57,8 @@ def blocks_of(page: str) -> list[tuple[tuple, str, int]]:
     """Blocks in page order: the path of open elements (tag and names), the text, and its characters in links.
 
     References are decoded and white space is one space. Comments, scripts, styles and other
-    elements that show no text leave nothing; an unclosed tag at the end is markup.
+    elements that show no text leave nothing; an unclosed tag at the end is markup. A head ends at
+    the first element or text that cannot be in one.
     """
     out: list[tuple[tuple, str, int]] = []
     path: list[tuple[str, tuple[str, ...]]] = []
@@ -73,6 +76,8 @@ def blocks_of(page: str) -> list[tuple[tuple, str, int]]:
 
     def add(part: str) -> None:
         nonlocal linked
+        if path and path[-1][0] == "head" and part.strip(" \t\n\f\r"):
+            path.pop()
         if part and not any(p[0] in HIDDEN_TAGS for p in path):
             text.append(part)
             if any(p[0] == "a" for p in path):
@@ -93,6 +98,8 @@ def blocks_of(page: str) -> list[tuple[tuple, str, int]]:
                     del path[k:]
                     break
             continue
+        if path and path[-1][0] == "head" and tag not in HEAD_TAGS:
+            path.pop()
         if tag in BLOCK_TAGS:
             flush()
             if tag in CLOSES_P:
@@ -106,7 +113,7 @@ def blocks_of(page: str) -> list[tuple[tuple, str, int]]:
                 path[:] = [p for p in path if p[0] != "head"]
         if tag == "br":
             add(" ")
-        if tag in VOID_TAGS or m[3].endswith("/") and tag in ("path", "circle", "rect"):
+        if tag in VOID_TAGS or m[3].endswith("/") and (tag in ("path", "circle", "rect") or tag in ("svg", "math") and not _UNQUOTED_END.search(m[3])):
             continue
         if tag in RAW_TAGS:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
