@@ -60,3 +60,13 @@ def test_long_text(monkeypatch):
     text = normalise(prose(60, 300) + " " + ITEMS[5][1] + " " + prose(61, 300) + " " + ITEMS[9][1])
     monkeypatch.setattr(decontaminate, "SPAN", 400)
     assert sorted(index.search_long(text)) == sorted(index.search([text])[0])
+
+
+def test_short_items():
+    index = Index([(1, "Blue whale"), (2, "whale?"), (3, "(c) now"), (4, "?!"), (5, "whale")])
+    find = lambda text: [(key, text[start:end], edits) for key, start, end, edits in index.search([text])[0]]
+    assert find("a blue whale, (c) now") == [(1, "blue whale", 0), (3, "(c) now", 0), (5, "whale", 0)]
+    assert find("blue whales, bluewhale blue  whale ?! (c) nowhere") == [(5, "whale", 0)]
+    assert find("is it a whale?") == [(2, "whale?", 0), (5, "whale", 0)]
+    assert index.search_long("x " * 10 + "whale")[0] == (5, 20, 25, 0)
+    assert index.search(["", "no"]) == [[], []]

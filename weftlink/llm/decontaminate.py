@@ -3,11 +3,13 @@
 If a benchmark item of m characters occurs in a text with at most k edits, at least
 m - Q + 1 - k * Q of its q-grams occur there unchanged, on diagonals (place in the text less
 place in the item) that lie within k of each other. Shared q-grams are counted in overlapping
-bands of diagonals; bands that meet the bound go to a banded alignment, which decides.
+bands of diagonals; bands that meet the bound go to a banded alignment, which decides. Short items are found as they
+are, at word bounds.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +22,9 @@ from .common import table
 Q = 10
 #: Edits allowed for each character of an item.
 RATE = 0.08
-#: Items of fewer characters are no evidence and match nothing.
+#: Items of fewer characters match only without edits and as whole words.
 LEAST_CHARS = 20
+_WORD = re.compile(r"\w+")
 #: Characters of benchmark items in one index, about 100 bytes each; a larger benchmark is taken in blocks.
 INDEX_CHARS = 2_000_000
 #: Characters of texts scanned at a time.
@@ -69,6 +72,10 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]):
         texts = [(key, normalise(text)) for key, text in items]
+        self.short: dict[str, list[tuple[int, str, int]]] = {}  # by their first word: id, text, place of that word
+        for key, text in texts:
+            if len(text) < LEAST_CHARS and (word := _WORD.search(text)):
+                self.short.setdefault(word[0], []).append((key, text, word.start()))
         texts = sorted((key, text) for key, text in texts if len(text) >= LEAST_CHARS)
         self.ids = np.array([key for key, _ in texts], np.int64)
         self.texts = [text for _, text in texts]
@@ -90,13 +97,32 @@ class Index:
         overlap = 2 * max(map(len, self.texts), default=0) + 2 * int(self.budget.max(initial=0)) + Q
         best: dict[int, tuple[int, int, int, int]] = {}
         for a in range(0, max(1, len(text) - overlap), 2 * SPAN):
-            for key, start, end, edits in self.search([text[a : a + 2 * SPAN + overlap]])[0]:
+            for key, start, end, edits in self._search([text[a : a + 2 * SPAN + overlap]])[0]:
                 one = (edits, a + start, a + end, key)
                 best[key] = min(best.get(key, one), one)
-        return [(key, start, end, edits) for edits, start, end, key in sorted(best.values(), key=lambda m: m[3])]
+        return self._with_short(text, [(key, start, end, edits) for edits, start, end, key in sorted(best.values(), key=lambda m: m[3])])
 
     def search(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """Per normalised text (item id, start, end, edits) of each item in it: its best place, then the first."""
+        return [self._with_short(text, own) for text, own in zip(texts, self._search(texts), strict=True)]
+
+    def _with_short(self, text: str, own: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+        """``own`` and the first place of every short item, by item id."""
+        if not self.short:
+            return own
+        found: dict[tuple[int, str], tuple[int, int, int, int]] = {}
+        for word in _WORD.finditer(text):
+            for key, item, place in self.short.get(word[0], ()):
+                start = word.start() - place
+                end = start + len(item)
+                if (key, item) in found or start < 0 or not text.startswith(item, start):
+                    continue
+                if not (_WORD.match(item[-1]) and _WORD.match(text[end : end + 1])):
+                    found[key, item] = (key, start, end, 0)
+        return sorted([*own, *found.values()], key=lambda m: m[0]) if found else own
+
+    def _search(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
+        """search() of the items of at least LEAST_CHARS characters."""
         found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
         whole = _GAP.join(texts)
         starts = np.r_[0, np.cumsum([len(t) + 1 for t in texts])][:-1].astype(np.int64)
@@ -206,8 +232,9 @@ def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
     """``docs`` with ``out``: the items found in the text, by item id: item_id, start, end, edits.
 
     Places count characters of the normalised text (lower case, white space as one space). A
-    null or empty text holds nothing; null items and items under LEAST_CHARS characters are left
-    out; of items that repeat an id each counts. Every text is searched whole. The index is
+    null or empty text holds nothing; null items and items without a word are left out. Items under
+    LEAST_CHARS characters count where they are whole words without edits, longer ones within the
+    edits; a part of an item does not count. Of items that repeat an id each counts. Every text is searched whole. The index is
     broadcast in blocks of about INDEX_CHARS characters, so its size does not grow with the benchmark.
     A column called ``out`` is replaced.
     """
