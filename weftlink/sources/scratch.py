@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,7 +14,7 @@ def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; where it is unset, a temporary folder locally and the warehouse on a cluster."""
     if base := spark.conf.get("spark.checkpoint.dir", None):
         return base.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # driver and executors are one process
         base = f"file://{tempfile.mkdtemp(prefix='weftlink-')}"
     else:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_weftlink_scratch"
