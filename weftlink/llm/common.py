@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import math
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,21 +18,52 @@ from ..sources.scratch import delete, shared_folder
 from ..sources.shipping import ship
 
 
-#: Rows that go to a Python worker at a time; whole texts are long, and workers hold a few copies of a batch.
-BATCH_ROWS = 1_000
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bytes and rows that go to a Python worker at a time while a table is written: workers hold a few copies of a batch.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2_000
+_BYTES, _ROWS = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def prepare(spark: SparkSession) -> None:
-    """Ships the package, and bounds the batches of this session's Python workers."""
-    ship(spark)
-    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
-        spark.conf.set(_BATCH, str(BATCH_ROWS))
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Bounds the batches of Python workers by bytes; the session's own settings come back afterwards."""
+    held = {k: spark.conf.get(k) for k in (_BYTES, _ROWS)}
+    try:
+        spark.conf.set(_BYTES, str(BATCH_BYTES))
+        if not 0 < int(held[_ROWS]) <= BATCH_ROWS:
+            spark.conf.set(_ROWS, str(BATCH_ROWS))
+        yield
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def release() -> None:
+    """Gives memory that this process no longer needs back to the system."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps what it likes
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """``run``, a function of an iterator of batches, that releases memory when its task ends."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; only Spark opens it, so any store Spark can read will do."""
-    prepare(spark)
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -36,20 +71,33 @@ class Scratch:
     """Tables written to the shared folder, which cut lineage and survive lost executors."""
 
     def __init__(self, spark: SparkSession):
-        prepare(spark)
+        ship(spark)
         self.spark = spark
         self.base = f"{shared_folder(spark)}/weftlink-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
         atexit.register(self.clear)
 
+    def path(self, name: str) -> str:
+        """A folder for ``name``, dropped with the tables."""
+        self.names.add(name)
+        return f"{self.base}/{name}"
+
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return a reader of the written table."""
-        df.write.parquet(f"{self.base}/{name}")
-        return self.spark.read.schema(_nullable(df.schema)).parquet(f"{self.base}/{name}")
+        path = self.path(name)
+        with small_batches(self.spark):
+            df.write.parquet(path)
+        return self.spark.read.schema(_nullable(df.schema)).parquet(path)
 
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more."""
         for name in names:
             delete(self.spark, f"{self.base}/{name}")
+            self.names.discard(name)
+
+    def only(self, *names: str) -> None:
+        """Delete all tables but these, which a result still reads; they go when the process ends."""
+        self.drop(*(self.names - {*names}))
 
     def clear(self) -> None:
         try:
@@ -58,6 +106,20 @@ class Scratch:
             pass
 
 
+def running_total(rows: DataFrame, order: list[str], value: str, out: str, scratch: Scratch, name: str) -> DataFrame:
+    """``rows``, one for each ``order``, with ``out``: the sum of ``value`` over all rows before.
+
+    Ranges of the order are summed apart; one sum a range, at most one for each shuffle partition,
+    meets in one task.
+    """
+    ranged = scratch.keep(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), name)
+    sums = ranged.groupBy("__part").agg(F.sum(value).alias("__sum"))
+    before = lambda over: over.rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("__part", F.coalesce(F.sum("__sum").over(before(Window.orderBy("__part"))), F.lit(0)).alias("__start"))
+    within = F.coalesce(F.sum(value).over(before(Window.partitionBy("__part").orderBy(*order))), F.lit(0))
+    return ranged.withColumn("__within", within).join(F.broadcast(starts), "__part").withColumn(out, F.col("__start") + F.col("__within")).drop("__part", "__start", "__within")
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
