@@ -2,40 +2,56 @@
 
 Both vocabularies cut a text into words before they merge, and no merge crosses a word. So the
 ids of a text are those of its chunks in order, if chunks are cut only where the tokenizer's own
-rule cuts, too. Chunks are remembered in a bounded table; a text that cannot be cut safely goes
-to the library whole.
+rule cuts, too. Chunks are remembered in a bounded table that a task empties at its end; plain
+words go straight to the library's merges, other chunks through all of it, and a text that cannot
+be cut safely goes there whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections import deque
+import struct
 
 import numpy as np
 
-#: Chunks remembered by a worker, about 220 bytes each; then the older half makes room.
-REMEMBERED = 1_000_000
+#: Chunks remembered by a worker, about 200 bytes each; then the older half makes room.
+REMEMBERED = 400_000
+#: Characters of the longest chunk that is remembered.
+LONGEST = 48
 #: Characters handled at a time: bounds the chunk lists of very long texts.
 SPAN = 1 << 20
 
 #: White space other than the space and the newline, and controls some libraries take for it.
 _ODD = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\0]")
+#: Letters below this one lower and normalise one by one, in every version of Unicode.
+_FIRST_ODD_LETTER, _DOTTED_I = "\u0250", "\u0130"
+_MARKS = frozenset(".,;:!?")
+
+
+def _byte_letters() -> dict[int, str]:
+    """What stands for each byte in a byte-level vocabulary: itself if it is printable, else a letter from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
 
 
 class _Table(dict):
-    """chunk -> ids as little-endian unsigned 32-bit integers; unknown chunks are noted for one batch call."""
+    """chunk -> ids as little-endian unsigned 32-bit integers, encoded when first asked for."""
 
-    def __init__(self):
+    def __init__(self, make):
         self.older: dict[str, bytes] = {}
-        self.wanted: list[str] = []
+        self.make = make
 
     def __missing__(self, chunk: str) -> bytes:
         known = self.older.get(chunk)
         if known is None:
-            self.wanted.append(chunk)
-            known = b""
-        self[chunk] = known
+            known = self.make(chunk)
+        if len(chunk) <= LONGEST:
+            self[chunk] = known
         return known
 
 
@@ -49,10 +65,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.remembered = remembered
-        self.table = _Table()
         #: True if spaces belong to the words after them (byte-level); else white space is dropped.
         self.spaced = self.tokenizer.normalizer is None
+        self.marks = {m: self.whole(m) for m in _MARKS}
+        self.table = _Table(self._encode_chunk)
 
     @classmethod
     def of(cls, path: str, remembered: int = REMEMBERED) -> Encoder:
@@ -61,6 +79,10 @@ class Encoder:
             cls._made[path, remembered] = cls(path, remembered)
         return cls._made[path, remembered]
 
+    def forget(self) -> None:
+        """Empties the table, at the end of a task."""
+        self.table = _Table(self._encode_chunk)
+
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -83,12 +105,24 @@ class Encoder:
             return key
         return key[1:] if key[0] == "\0" else " " + key
 
-    def _fill(self) -> None:
-        table = self.table
-        if wanted := table.wanted:
-            for key, found in zip(wanted, self.tokenizer.encode_batch_fast([self._text(x) for x in wanted], add_special_tokens=False), strict=True):
-                table[key] = np.array(found.ids, "<u4").tobytes()
-            table.wanted = []
+    def _encode_chunk(self, key: str) -> bytes:
+        """ids of a chunk. A word of plain letters is one word for the tokenizer, too, and a mark after it the next."""
+        body = key
+        if self.spaced and key[0] in "\0\n":
+            body = key[1:]
+        if body and body[-1] in self.marks and body[:-1].isalpha():
+            return self.table[key[:-1]] + self.marks[body[-1]]
+        if body.isalpha() and (body.isascii() or max(body) < _FIRST_ODD_LETTER and _DOTTED_I not in body):
+            if self.spaced and key[0] == "\n":
+                return self.table["\n"] + self.table["\0" + body]
+            if not self.spaced:
+                body = body.lower()
+            lead = _LETTERS[32] if self.spaced and body is key else ""
+            if not body.isascii():
+                body = body.encode().decode("latin-1").translate(_LETTERS)
+            ids = [t.id for t in self.model.tokenize(lead + body)]
+            return struct.pack(f"<{len(ids)}I", *ids)
+        return self.whole(self._text(key))
 
     def _spans(self, text: str) -> list[str]:
         """The text in parts of about SPAN characters, cut before a single space between words."""
@@ -105,30 +139,16 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        out: list[list[bytes]] = []
-        held: list[tuple[list[bytes], list[str] | str]] = []
-        size = 0
+        out: list[bytes] = []
+        get = self.table.__getitem__
         for text in texts:
             own: list[bytes] = []
-            out.append(own)
             for k, part in enumerate(self._spans(text) if text else ()):
                 chunks = self._chunks(part, k == 0)
-                held.append((own, part if chunks is None else chunks))
-                size += len(part)
-                if size >= SPAN:
-                    self._flush(held)
-                    held, size = [], 0
-        self._flush(held)
-        return [b"".join(own) for own in out]
-
-    def _flush(self, held: list[tuple[list[bytes], list[str] | str]]) -> None:
-        if len(self.table) > self.remembered // 2:
-            older, self.table = dict(self.table), _Table()
-            self.table.older = older
-        get = self.table.__getitem__
-        for _, chunks in held:
-            if not isinstance(chunks, str):
-                deque(map(get, chunks), maxlen=0)
-        self._fill()
-        for own, chunks in held:
-            own.append(self.whole(chunks) if isinstance(chunks, str) else b"".join(map(get, chunks)))
+                own.append(self.whole(part) if chunks is None else b"".join(map(get, chunks)))
+                if len(self.table) > self.remembered // 2:
+                    older, self.table = dict(self.table), _Table(self._encode_chunk)
+                    self.table.older = older
+                    get = self.table.__getitem__
+            out.append(own[0] if len(own) == 1 else b"".join(own))
+        return out
