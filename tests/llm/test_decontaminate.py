@@ -30,7 +30,7 @@ def edited(text, edits, r):
 def test_brute_force():
     r = random.Random(3)
     index = Index(ITEMS)
-    for n in range(120):
+    for n in range(40):
         k = r.randrange(len(index.texts))
         budget = int(index.budget[k])
         text = normalise(prose(n, 30) + " " + edited(index.texts[k], r.randint(0, budget + 3), r) + " " + prose(n + 1, 20))
@@ -63,10 +63,42 @@ def test_long_text(monkeypatch):
 
 
 def test_short_items():
-    index = Index([(1, "Blue whale"), (2, "whale?"), (3, "(c) now"), (4, "?!"), (5, "whale")])
+    index = Index([(1, "Sea whale"), (2, "whale?"), (3, "(c) now"), (4, "?!"), (5, "whale"), (6, "blue whale")])
     find = lambda text: [(key, text[start:end], edits) for key, start, end, edits in index.search([text])[0]]
-    assert find("a blue whale, (c) now") == [(1, "blue whale", 0), (3, "(c) now", 0), (5, "whale", 0)]
-    assert find("blue whales, bluewhale blue  whale ?! (c) nowhere") == [(5, "whale", 0)]
+    assert find("a sea whale, (c) now") == [(1, "sea whale", 0), (3, "(c) now", 0), (5, "whale", 0)]
+    assert find("sea whales, seawhale sea  whale ?! (c) nowhere") == [(5, "whale", 0)]
     assert find("is it a whale?") == [(2, "whale?", 0), (5, "whale", 0)]
+    assert find("blue whales") == [(6, "blue whale", 0)] and find("blue-whale") == [(5, "whale", 0)]  # a q-gram long, no edits
     assert index.search_long("x " * 10 + "whale")[0] == (5, 20, 25, 0)
     assert index.search(["", "no"]) == [[], []]
+
+
+def test_every_length_against_brute_force():
+    r = random.Random(4)
+    items = [(n, "".join(r.choice("abcd ") for _ in range(n)).strip().replace("  ", "a b") or "q") for n in range(1, 45)]
+    index = Index(items)
+    for n in range(25):
+        key, item = r.choice(items)
+        text = normalise(prose(n, 6) + " " + edited(item, r.randint(0, 2), r) + " " + prose(n + 1, 6))
+        found = {m[0]: m[3] for m in index.search([text])[0]}
+        for key, item in items:
+            item = normalise(item)
+            if len(item) >= decontaminate.Q:
+                budget = min(int(len(item) * decontaminate.RATE), (len(item) - decontaminate.Q) // decontaminate.Q)
+                least = distance(item, text)
+                assert (key in found) == (least <= budget) and found.get(key, least) == least
+
+
+def test_one_index_at_a_time(spark, monkeypatch):
+    made, gone = [], []
+    kind = type(spark.sparkContext.broadcast(0))
+    destroy = kind.destroy
+    monkeypatch.setattr(decontaminate, "INDEX_CHARS", 300)
+    init = Index.__init__
+    monkeypatch.setattr(Index, "__init__", lambda self, items: made.append(len(made) - len(gone)) or init(self, items))
+    monkeypatch.setattr(kind, "destroy", lambda self, *a: gone.append(1) or destroy(self, *a))
+    benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"{prose(k, 20)} {text} {prose(k + 1, 20)}") for k, text in ITEMS for _ in range(3)], "doc_id long, text string")
+    got = find_items(docs, benchmark).collect()
+    assert len(got) == len(ITEMS) * 3 and all(r.doc_id in [m.item_id for m in r.leaks] for r in got)
+    assert len(made) > 5 and set(made) == {0}  # every index is gone before the next is made

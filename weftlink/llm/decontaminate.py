@@ -3,8 +3,8 @@
 If a benchmark item of m characters occurs in a text with at most k edits, at least
 m - Q + 1 - k * Q of its q-grams occur there unchanged, on diagonals (place in the text less
 place in the item) that lie within k of each other. Shared q-grams are counted in overlapping
-bands of diagonals; bands that meet the bound go to a banded alignment, which decides. Short items are found as they
-are, at word bounds.
+bands of diagonals; bands that meet the bound go to a banded alignment, which decides. Items too
+short for a q-gram are found as they are, at word bounds.
 """
 
 from __future__ import annotations
@@ -17,19 +17,18 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from ..sources.shipping import ship
+from .common import Scratch, small, table, tidy
 
 Q = 10
 #: Edits allowed for each character of an item.
 RATE = 0.08
-#: Items of fewer characters match only without edits and as whole words.
-LEAST_CHARS = 20
 _WORD = re.compile(r"\w+")
-#: Characters of benchmark items in one index, about 100 bytes each; a larger benchmark is taken in blocks.
+#: Characters of benchmark items in one index, about 100 bytes each; a larger benchmark is taken block by block.
 INDEX_CHARS = 2_000_000
 #: Characters of texts scanned at a time.
-SPAN = 1 << 20
-_BITS = 22
+SPAN = 1 << 18
+_BITS, _SLOT_BITS = 22, 20
 _GAP = "\uffff"  # between texts; in no item
 
 
@@ -74,13 +73,13 @@ class Index:
         texts = [(key, normalise(text)) for key, text in items]
         self.short: dict[str, list[tuple[int, str, int]]] = {}  # by their first word: id, text, place of that word
         for key, text in texts:
-            if len(text) < LEAST_CHARS and (word := _WORD.search(text)):
+            if len(text) < Q and (word := _WORD.search(text)):
                 self.short.setdefault(word[0], []).append((key, text, word.start()))
-        texts = sorted((key, text) for key, text in texts if len(text) >= LEAST_CHARS)
+        texts = sorted((key, text) for key, text in texts if len(text) >= Q)
         self.ids = np.array([key for key, _ in texts], np.int64)
         self.texts = [text for _, text in texts]
         sizes = np.array([len(t) for t in self.texts], np.int64)
-        self.budget = np.minimum((sizes * RATE).astype(np.int64), (sizes - Q) // Q)
+        self.budget = np.minimum((sizes * RATE).astype(np.int64), (sizes - Q) // Q)  # below 2 * Q characters: no edits
         self.bound = np.maximum(sizes - Q + 1 - self.budget * Q, 1)
         each = [_grams(_points(t)) for t in self.texts]
         grams = np.concatenate(each) if each else np.empty(0, np.uint64)
@@ -122,7 +121,7 @@ class Index:
         return sorted([*own, *found.values()], key=lambda m: m[0]) if found else own
 
     def _search(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
-        """search() of the items of at least LEAST_CHARS characters."""
+        """search() of the items of at least Q characters."""
         found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
         whole = _GAP.join(texts)
         starts = np.r_[0, np.cumsum([len(t) + 1 for t in texts])][:-1].astype(np.int64)
@@ -142,9 +141,9 @@ class Index:
         band = (at - place + (1 << 20)) // width  # a band is two strides wide, so any k + 1 diagonals lie in one
         keys = np.concatenate([(item << 44) | band, (item << 44) | (band - 1)])
         # Too few grams under a hash of the key are too few under the key: most keys leave before the sort.
-        slot = (((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40))).astype(np.int64)
+        slot = (((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS))).astype(np.int64)
         bound = np.concatenate([self.bound[item]] * 2)
-        rows = np.flatnonzero(np.bincount(slot, minlength=1 << 24)[slot] >= bound)
+        rows = np.flatnonzero(np.bincount(slot, minlength=1 << _SLOT_BITS)[slot] >= bound)
         if not len(rows):
             return [[] for _ in texts]
         own, first, back, counts = np.unique(keys[rows], return_index=True, return_inverse=True, return_counts=True)
@@ -225,7 +224,7 @@ def _finder(shared):
             out += shared.value.search(held) if held else []
             yield pd.Series([[dict(zip(("item_id", "start", "end", "edits"), m, strict=True)) for m in own] for own in out], dtype=object)
 
-    return F.pandas_udf(run, schema)
+    return F.pandas_udf(tidy(run), schema)
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", out: str = "leaks") -> DataFrame:
@@ -233,21 +232,42 @@ def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
 
     Places count characters of the normalised text (lower case, white space as one space). A
     null or empty text holds nothing; null items and items without a word are left out. Items under
-    LEAST_CHARS characters count where they are whole words without edits, longer ones within the
-    edits; a part of an item does not count. Of items that repeat an id each counts. Every text is searched whole. The index is
-    broadcast in blocks of about INDEX_CHARS characters, so its size does not grow with the benchmark.
-    A column called ``out`` is replaced.
+    Q characters count where they are whole words, those under 2 * Q where they stand without
+    edits, longer ones within the edits; a part of an item does not count. Of items that repeat an
+    id each counts. Every text is searched whole; an empty table gives no rows, repeated rows are
+    searched one by one. A column called ``out`` is replaced.
+
+    The index of about INDEX_CHARS characters is broadcast. A larger benchmark goes block by block,
+    a job and a broadcast for each, and no worker holds more than one index; what a block finds is
+    written by the text's digest and joined back.
     """
+    spark = docs.sparkSession
+    ship(spark)
     items = benchmark.where(F.col(item_text).isNotNull() & F.col(item_id).isNotNull()).select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text"))
     blocks = max(1, -(-int(items.agg(F.sum(F.length("text"))).first()[0] or 0) // INDEX_CHARS))
-    context = docs.sparkSession.sparkContext
-    found = []
-    for k in range(blocks):
+    own = [c for c in docs.columns if c != out]
+
+    def index(k: int):
         block = items.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).collect()  # about INDEX_CHARS characters
-        found.append(_finder(context.broadcast(Index([(r["id"], r["text"]) for r in block])))(F.col(text)))
-    return docs.select(*[c for c in docs.columns if c != out], F.concat(*found).alias(out))
+        return spark.sparkContext.broadcast(Index([(r["id"], r["text"]) for r in block]))
+
+    if blocks == 1:
+        return docs.select(*own, _finder(index(0))(F.col(text)).alias(out))
+    scratch, found = Scratch(spark), None
+    sha = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    for k in range(blocks):
+        shared = index(k)
+        hits = docs.select(sha.alias("__sha"), _finder(shared)(F.col(text)).alias("hits")).where(F.size("hits") > 0)
+        hits = scratch.keep(hits.groupBy("__sha").agg(F.any_value("hits").alias("hits")), f"hits{k}")
+        shared.destroy()
+        found = hits if found is None else found.unionByName(hits)
+    found = scratch.keep(found.groupBy("__sha").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("__hits")), "found")
+    scratch.only("found")
+    none = F.array().cast(found.schema["__hits"].dataType)
+    return docs.withColumn("__sha", sha).join(small(found, 50_000), "__sha", "left").select(*own, F.coalesce("__hits", none).alias(out))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document: whether it holds an item, and the items' ids, places and edits."""
     found = find_items(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", (F.size("leaks") > 0).alias("contaminated"), F.col("leaks.item_id").alias("item_ids"), F.col("leaks.start").alias("starts"), F.col("leaks.end").alias("ends"), F.col("leaks.edits").alias("edits"))
