@@ -5,6 +5,8 @@ import numpy as np
 from weftlink.llm import ngram_join
 from weftlink.llm.ngram_join import count_links, least_matches, min_hashes, one_of_each, prefix, shingle_sets, similar
 
+from weftlink.llm.common import Scratch
+
 from .conftest import prose
 
 
@@ -105,6 +107,21 @@ def test_count_links():
         assert (count_links(sets, weights, 70, 0.8, **sizes) == across @ weights).all()
 
 
+def test_one_ngram_in_many_unlike_documents(spark, monkeypatch):
+    """Documents of 10 of 40 passages: every n-gram is in a quarter of them, no two are alike but for planted copies."""
+    r = random.Random(9)
+    passages = [prose(4000 + k, 12) for k in range(40)]
+    rows = [(k, " ".join(r.sample(passages, 10))) for k in range(1200)]
+    rows += [(2000 + k, rows[k][1].rsplit(" ", 1)[0] + " edit") for k in range(0, 1200, 100)]
+    made = {}
+    keep = Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, name: made.setdefault(name, keep(self, df, name).cache()))
+    got = similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.class_id for r in got if r.doc_id >= 2000} == {2000 + k: k for k in range(0, 1200, 100)}
+    assert made["open"].groupBy("key").count().agg({"count": "max"}).first()[0] > 2 * ngram_join.SPLIT_MEMBERS  # long lists of different components
+    assert made["left"].count() < 2 * len(rows)
+
+
 def test_parts():
     texts = [prose(1, 30), None, "", " a ", "a b c d e f", "A b c\nd e f"]
     sets = shingle_sets(texts)

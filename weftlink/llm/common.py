@@ -180,3 +180,11 @@ def keep_rows(docs: DataFrame, judged: DataFrame, text: str, id: str) -> DataFra
         back = small(back)
         left = left.unionByName(marked.join(back, same(back), "left_semi").dropDuplicates([id, "__text_sha"]))
     return left.select(*docs.columns)
+
+
+def drop_texts(docs: DataFrame, judged: DataFrame, text: str, scratch: Scratch) -> DataFrame:
+    """``docs`` without the rows whose text is one of ``judged`` (__sha, a SHA-256); a null text counts as empty."""
+    gone = scratch.keep(judged.select("__sha").distinct(), "gone")
+    scratch.only("gone")
+    marked = docs.withColumn("__sha", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    return marked.join(small(gone), "__sha", "left_anti").select(*docs.columns)

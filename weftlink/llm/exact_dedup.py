@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, attach, keep_rows, small, table
+from .common import Scratch, attach, keep_rows, small, table, tidy
 
 #: Fingerprints held by the merged filter of one range, on average.
 RANGE_FINGERPRINTS = 250_000
@@ -117,19 +117,18 @@ def repeated_fingerprints(rows: DataFrame, column: str, n_rows: int) -> DataFram
         fps, counts = one.merge(*more).repeated()
         return pd.DataFrame({"fp": (fps | np.uint64(int(key[0]) << bits)).view(np.int64), "n": counts})
 
-    filters = rows.select(column).mapInPandas(build, "range int, filter binary")
+    filters = rows.select(column).mapInPandas(tidy(build), "range int, filter binary")
     return filters.groupBy("range").applyInPandas(merge, "fp long, n long")
 
 
-def group_copies(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+def group_copies(docs: DataFrame, text: str = "text", id: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256, and a row number ``row``.
 
     Texts are equal if their bytes are; null counts as empty. The row with the largest id stays
     (a null id is below all others); of rows that agree in id and text, the last read stays, so
     that each group keeps exactly one row. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = scratch or Scratch(docs.sparkSession)
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = scratch.keep(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias(id), F.xxhash64(whole).alias("fp"), F.sha2(whole, 256).alias("text_sha256")), "rows")
     n_rows = rows.count()
@@ -142,6 +141,7 @@ def group_copies(docs: DataFrame, text: str = "text", id: str = "doc_id") -> Dat
     stays = rows.join(listed, "fp", "left_semi").groupBy("text_sha256").agg(F.max(F.struct(id, "row")).alias("__stays"))
     groups = scratch.keep(same.join(stays, "text_sha256"), "groups")
 
+    scratch.only("rows", "groups")
     every = attach(rows, groups, "text_sha256", "group_size", n_rows, "row")
     alone = F.col("group_size").isNull()
     return every.select(
@@ -156,11 +156,13 @@ def group_copies(docs: DataFrame, text: str = "text", id: str = "doc_id") -> Dat
 def deduplicate(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """``docs`` without the rows that an equal text with a larger id makes redundant; all columns stay."""
     scratch = Scratch(docs.sparkSession)
-    judged = scratch.keep(group_copies(docs, text, id).where("group_size > 1").select(F.col(id).alias("__id"), F.col("text_sha256").alias("__sha"), "kept"), "judged")
+    judged = scratch.keep(group_copies(docs, text, id, scratch).where("group_size > 1").select(F.col(id).alias("__id"), F.col("text_sha256").alias("__sha"), "kept"), "judged")
+    scratch.only("judged")
     return keep_rows(docs, judged, text, id)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of equal texts; see ``group_copies`` for odd rows."""
     return group_copies(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 

@@ -8,8 +8,9 @@ verified exactly.
 
 A group of copies makes no pairs: equal sets are one representative, every n-gram's list is
 compared with one of its members first, and only members that these links leave in different
-components are compared with one another. So no link is lost between components, and the number
-of pairs follows the number of documents as long as similar documents form groups.
+components are compared with one another; long lists of them are cut by bands of MinHash values
+first. So no link is lost between components, and the number of pairs follows the number of
+documents as long as similar documents form groups.
 
 Every link lies within a component. Links are counted there, all sets with all: blocks of sets are
 multiplied as matrices of n-grams, and only the counts leave the worker.
@@ -20,13 +21,14 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, attach, keep_rows, small, table
+from .common import Scratch, attach, keep_rows, small, table, tidy
 
 WORDS, THRESHOLD = 5, 0.8
 #: MinHash values of a document, and how many are compared at a time.
@@ -37,8 +39,10 @@ TOLERANCE = 1e-6
 COMMON_SHARE, LEAST_COMMON = 1 / 500, 50
 #: Counters in which common n-grams are found.
 _COUNTERS = 22
+#: Lists with more members than this whose components differ are cut by bands of so many MinHash values.
+SPLIT_MEMBERS, BAND = 8, 4
 #: Characters handled at a time.
-SPAN = 1 << 19
+SPAN = 1 << 18
 #: About so many sets, or n-grams, of a component are in one block when its links are counted.
 BLOCK_SETS, BLOCK_GRAMS = 4096, 1 << 20
 #: Sets and n-grams multiplied at a time, and members from which on an n-gram is a column.
@@ -73,24 +77,26 @@ def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray
     return out + (_sets(held, words) if held else [])
 
 
-_inverse = np.ones(1, np.uint64)
-_power = np.ones(1, np.uint64)
+@cache
+def _short_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(2 * SPAN)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base of the words' hashes, and of its inverse."""
+    return tuple(np.r_[np.uint64(1), np.cumprod(np.full(n, b, np.uint64))] for b in (_B, pow(_B, -1, 1 << 64)))
 
 
 def _sets(plain: list[str], words: int) -> list[np.ndarray]:
-    global _inverse, _power
     points = np.frombuffer((" ".join(plain) + " ").encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
-    if len(points) > len(_power):
-        n = 2 * len(points)
-        _power = np.r_[np.uint64(1), np.cumprod(np.full(n, _B, np.uint64))]
-        _inverse = np.r_[np.uint64(1), np.cumprod(np.full(n, pow(_B, -1, 1 << 64), np.uint64))]
-    sums = np.r_[np.uint64(0), np.cumsum((points + np.uint64(1)) * _power[: len(points)])]
+    power, inverse = _short_powers() if len(points) <= 2 * SPAN else _powers(len(points))  # of a longer text they go with it
+    sums = np.r_[np.uint64(0), np.cumsum((points + np.uint64(1)) * power[: len(points)])]
     ends = np.flatnonzero(points == 32)
     starts = np.r_[0, ends[:-1] + 1]
     full = ends > starts  # an empty text leaves an empty word
     owner = np.searchsorted(np.cumsum([len(t) + 1 for t in plain]), starts, "right")[full]
     starts, ends = starts[full], ends[full]
-    word = _mix((sums[ends] - sums[starts]) * _inverse[starts] + (ends - starts).astype(np.uint64))
+    word = _mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
     counts = np.bincount(owner, minlength=len(plain))
     out, at = [], 0
     for n in counts.tolist():
@@ -149,16 +155,16 @@ def common_grams(docs: DataFrame, text: str, words: int, least: int) -> tuple[np
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        slots = np.zeros(1 << _COUNTERS, np.int64)
+        slots = np.zeros(1 << _COUNTERS, np.int32)
         for batch in batches:
             for a in range(0, len(batch), 500):
                 sets = shingle_sets(batch["text"].iloc[a : a + 500].tolist(), words)
                 at, n = np.unique((np.concatenate(sets) >> np.uint64(64 - _COUNTERS)).astype(np.int64), return_counts=True)
-                slots[at] += n
+                slots[at] += n.astype(np.int32)
         at = np.flatnonzero(slots >= 4)
-        yield pd.DataFrame({"slot": at, "n": slots[at]})
+        yield pd.DataFrame({"slot": at, "n": slots[at].astype(np.int64)})
 
-    counted = docs.select(F.col(text).alias("text")).mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    counted = docs.select(F.col(text).alias("text")).mapInPandas(tidy(count), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     found = counted.orderBy("slot").toPandas()
     return found["slot"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
 
@@ -208,7 +214,7 @@ def _sketch(docs: DataFrame, common, words: int, threshold: float) -> DataFrame:
                     }
                 )
 
-    return docs.mapInPandas(run, "sha string, sig binary, n int, first binary, others binary, grams array<long>, common array<boolean>")
+    return docs.mapInPandas(tidy(run), "sha string, sig binary, n int, first binary, others binary, grams array<long>, common array<boolean>")
 
 
 def _signature(grams: np.ndarray) -> bytes:
@@ -249,7 +255,7 @@ def _lists(sets: DataFrame) -> DataFrame:
         return pd.DataFrame(dict(zip((*_MEMBER, "anchor", "anchor_n", "anchor_pos"), (*all_, *heads), strict=True)))[np.repeat(sizes > 1, sizes)]
 
     rare = postings.where("not common").select(*_MEMBER).repartition("key").sortWithinPartitions("key", "pos", "row")
-    return rare.mapInPandas(sweep, "key long, row long, n int, pos int, anchor long, anchor_n int, anchor_pos int").unionByName(long)
+    return rare.mapInPandas(tidy(sweep), "key long, row long, n int, pos int, anchor long, anchor_n int, anchor_pos int").unionByName(long)
 
 
 def _may_reach(n: tuple[str, str], pos: tuple[str, str], threshold: float) -> F.Column:
@@ -289,7 +295,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scrat
     left = pairs.select("a", "b", F.lit(0).alias("same"))
     for part, own in (("first", steps[:1]), ("others", steps[1:])):
         one, two = (sets.select(F.col("row").alias(r), F.col(part).alias(h)) for r, h in (("a", "x"), ("b", "y")))
-        left = left.join(one, "a").join(two, "b").select("a", "b", "same", "x", "y").mapInPandas(compare(own), "a long, b long, same int")
+        left = left.join(one, "a").join(two, "b").select("a", "b", "same", "x", "y").mapInPandas(tidy(compare(own)), "a long, b long, same int")
         left = scratch.keep(left, f"{name}_{part}")
     likely = left.select("a", "b")
 
@@ -303,7 +309,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scrat
                 part = batch.iloc[a : a + 500]
                 yield pd.DataFrame({"sha": part["sha"].to_numpy(), "grams": [x.tobytes() for x in shingle_sets(part["text"].tolist(), words)]})
 
-    grams = scratch.keep(texts.select("sha", "text").mapInPandas(whole, "sha string, grams binary").join(wanted, "sha").select("row", "grams"), f"{name}_grams")
+    grams = scratch.keep(texts.select("sha", "text").mapInPandas(tidy(whole), "sha string, grams binary").join(wanted, "sha").select("row", "grams"), f"{name}_grams")
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -315,7 +321,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scrat
             yield batch[["a", "b"]].assign(similarity=keep)[np.array(keep, float) >= threshold - 1e-12]
 
     met = likely.join(grams.select(F.col("row").alias("a"), F.col("grams").alias("x")), "a").join(grams.select(F.col("row").alias("b"), F.col("grams").alias("y")), "b")
-    return scratch.keep(met.select("a", "b", "x", "y").mapInPandas(exact, "a long, b long, similarity double"), name), grams
+    return scratch.keep(met.select("a", "b", "x", "y").mapInPandas(tidy(exact), "a long, b long, similarity double"), name), grams
 
 
 def count_links(sets: list[np.ndarray], weights: np.ndarray, split: int, threshold: float, tile: int = TILE, panel: int = PANEL, frequent: int = FREQUENT) -> np.ndarray:
@@ -423,7 +429,7 @@ def _degrees(parts: DataFrame, sets: DataFrame, grams: DataFrame, weights: DataF
         found = count_links([np.frombuffer(x, np.uint64) for x in all_["grams"]], all_["weight"].to_numpy(np.float64), split, threshold)
         return pd.DataFrame({"row": all_["row"].to_numpy(), "linked": found})
 
-    return met.mapInPandas(run, "row long, linked long").groupBy("row").agg(F.sum("linked").alias("linked"))
+    return met.mapInPandas(tidy(run), "row long, linked long").groupBy("row").agg(F.sum("linked").alias("linked"))
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -448,7 +454,28 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return labels
 
 
-def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, count: bool = True) -> DataFrame:
+def _across(open_: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of members of a list (key, row, n, pos, part) in different parts: those outside its main part with all others."""
+    main = open_.groupBy("key", "part").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "part")).alias("main")).select("key", F.col("main.part").alias("main"))
+    light = open_.join(main, "key").where("part <> main").select("key", F.col("row").alias("r1"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("part").alias("p1"), "main")
+    met = light.join(open_, "key").where((F.col("part") != F.col("p1")) & ((F.col("part") == F.col("main")) | (F.col("row") < F.col("r1"))) & _may_reach(("n", "n1"), ("pos", "pos1"), threshold))
+    return met.select(F.least("row", "r1").alias("a"), F.greatest("row", "r1").alias("b")).distinct()
+
+
+def _by_band(long: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """Long lists cut by bands of MinHash values: members meet only if they agree in all BAND values of some band.
+
+    Sets of similarity 0.8 miss one another in all 32 bands of 4 with a probability of 5e-8, far
+    below the pruning's tolerance; of unlike members few meet, however long the list is.
+    """
+    values = F.concat("first", "others")
+    bands = F.array(*[F.xxhash64(F.lit(j), F.substring(values, 4 * BAND * j + 1, 4 * BAND)) for j in range(HASHES // BAND)])
+    rows = scratch.keep(long.select("row").distinct().join(sets.select("row", bands.alias("bands")), "row"), "bands")
+    cut = long.join(rows, "row").select("row", "n", "pos", "part", "key", F.explode("bands").alias("band"))
+    return cut.select(F.xxhash64("key", "band").alias("key"), "row", "n", "pos", "part")
+
+
+def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, count: bool = True, scratch: Scratch | None = None) -> DataFrame:
     """One row per document: row, id, sha, copy_id, class_id, n_links, representative.
 
     Two documents are linked if the Jaccard similarity of their sets of word n-grams is at least
@@ -460,7 +487,7 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
     text shorter than ``words`` words is one n-gram. Null ids are below all others. An empty table
     gives no rows.
     """
-    scratch = Scratch(docs.sparkSession)
+    scratch = scratch or Scratch(docs.sparkSession)
     whole = F.coalesce(F.col(text), F.lit(""))
     every = scratch.keep(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias(id), F.sha2(whole, 256).alias("sha")), "every")
     n_docs = every.count()
@@ -483,13 +510,14 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
 
     # Members of a list that are still in different components are compared with one another.
     placed = lists.select(*_MEMBER).join(small(parts), "row", "left").select(*_MEMBER, F.coalesce("component", "row").alias("part"))
-    mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
+    mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("members")).where("low < high").select("key", "members")
     open_ = scratch.keep(placed.join(mixed, "key"), "open")
-    main = open_.groupBy("key", "part").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "part")).alias("main")).select("key", F.col("main.part").alias("main"))
-    light = open_.join(main, "key").where("part <> main").select("key", F.col("row").alias("r1"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("part").alias("p1"), "main")
-    across = light.join(open_, "key").where((F.col("part") != F.col("p1")) & ((F.col("part") == F.col("main")) | (F.col("row") < F.col("r1"))) & _may_reach(("n", "n1"), ("pos", "pos1"), threshold))
-    left = across.select(F.least("row", "r1").alias("a"), F.greatest("row", "r1").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more, others = _verified(scratch.keep(left, "left"), sets, base, scratch, "more", words, threshold, tolerance)
+    left = _across(open_.where(F.col("members") <= SPLIT_MEMBERS), threshold)
+    long = open_.where(F.col("members") > SPLIT_MEMBERS)
+    if long.take(1):
+        left = left.unionByName(_across(_by_band(long, sets, scratch), threshold)).distinct()
+    left = scratch.keep(left.join(pairs, ["a", "b"], "left_anti"), "left")
+    more, others = _verified(left, sets, base, scratch, "more", words, threshold, tolerance)
     links = links.unionByName(more)
     parts = components(links, scratch, "classes")
 
@@ -507,6 +535,7 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
     told = told.withColumn("component", F.coalesce("component", -1 - F.col("row")))
     best = scratch.keep(told.groupBy("component").agg(F.min(F.struct(id, "row")).alias("best"), F.count("*").alias("members")).where("members > 1"), "best")
     shared = scratch.keep(told.where("head is not null").groupBy("head").agg(F.min(id).alias("copy_id"), F.count("*").alias("n")).where("n > 1"), "shared")
+    scratch.only("told", "best", "shared")
     out = attach(told, best, "component", "members", n_docs, "row")
     out = attach(out.withColumn("head", F.coalesce("head", -1 - F.col("row"))), shared, "head", "n", n_docs, "row")
     alone = F.col("best").isNull()
@@ -522,9 +551,12 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
 def one_of_each(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each class of similar ones, the representative; all columns stay."""
     scratch = Scratch(docs.sparkSession)
-    judged = similar(docs, text, id, count=False).select(F.col(id).alias("__id"), F.col("sha").alias("__sha"), F.col("representative").alias("kept"))
-    return keep_rows(docs, scratch.keep(judged, "judged"), text, id)
+    judged = similar(docs, text, id, count=False, scratch=scratch).select(F.col(id).alias("__id"), F.col("sha").alias("__sha"), F.col("representative").alias("kept"))
+    judged = scratch.keep(judged, "judged")
+    scratch.only("judged")
+    return keep_rows(docs, judged, text, id)
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class, copy group and number of links; see ``similar`` for odd rows."""
     return similar(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copy_id", "n_links", "representative")
