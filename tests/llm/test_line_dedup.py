@@ -1,7 +1,10 @@
 import random
 import re
 
-from weftlink.llm.line_dedup import LEAST_CHARS, find_duplicate_lines, remove_lines
+import pytest
+from pyspark.sql import functions as F
+
+from weftlink.llm.line_dedup import WHITE_SPACE, find_duplicate_lines, normalised, remove_lines
 
 
 def within_one(a, b):
@@ -23,7 +26,7 @@ def brute(rows):
             line = re.sub(r"^\s+|\s+$", "", line).lower()
             if line:
                 n += 1
-                if any(line == s or (len(line) >= LEAST_CHARS and len(s) >= LEAST_CHARS and within_one(line, s)) for s in seen):
+                if any(line == s or within_one(line, s) for s in seen):
                     drops.append(k)
                 seen.append(line)
         out.append((id, n, n - len(drops), drops))
@@ -49,6 +52,23 @@ def test_brute_force(spark):
         assert left[id] == (text and "\n".join(x for k, x in enumerate(text.split("\n")) if k not in drops))
 
 
+def test_short_lines(spark):
+    r = random.Random(6)
+    rows = [(k, "\n".join("".join(r.choice("abc漢") for _ in range(r.randint(0, 5))) for _ in range(2))) for k in range(0, 60)] + [(k, "".join(r.choice("xyzuvw") for _ in range(4 + k % 4))) for k in range(100, 130)]
+    found = find_duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted((x.doc_id, x.n_lines, x.n_kept, x.dropped) for x in found.collect()) == brute(rows)
+
+
+def test_white_space(spark):
+    texts = [f"{c}{c}A {c} b{c}" for c in WHITE_SPACE] + [f"{chr(c)}a" for c in (0, 28, 31, 0x200B, 0xFEFF)]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(normalised(F.col("t"))).collect()]
+    assert got == [f"a {c} b" for c in WHITE_SPACE] + texts[len(WHITE_SPACE) :]
+    java = spark.range(0, 0x3001).select(F.chr("id").alias("c")).where(F.col("c").rlike(r"(?U)^\s$"))
+    assert {r.c for r in java.collect()} <= {*WHITE_SPACE}
+
+
 def test_oddities(odd, none):
+    with pytest.raises(ValueError):
+        remove_lines(odd, find_duplicate_lines(odd))
     assert find_duplicate_lines(odd).count() == odd.count()
     assert find_duplicate_lines(none).count() == 0

@@ -21,10 +21,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, attach, small, table
+from .common import Scratch, attach, small, table, tidy
 
-#: Lines shorter than this are duplicates only if equal: one edit would make most of them alike.
-LEAST_CHARS = 12
+# The characters that Unicode calls white space.
+WHITE_SPACE = "".join(map(chr, [*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))
 #: Segments of the second, finer count.
 SEGMENTS = 16
 #: Candidate lines up to this many are broadcast to the scan that fetches their texts.
@@ -35,7 +35,7 @@ _M = (1 << 64) - 1
 
 def normalised(line: F.Column) -> F.Column:
     """Lower case without white space around it; what counts as equal."""
-    return F.lower(F.regexp_replace(line, r"(?U)^\s+|\s+$", ""))
+    return F.lower(F.trim(line, F.lit(WHITE_SPACE)))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -119,7 +119,7 @@ def _half_keys(line: F.Column) -> F.Column:
         half = F.floor(m / 2).cast("int")
         return [F.xxhash64(m, F.lit(0), F.substring(line, F.lit(1), half)), F.xxhash64(m, F.lit(1), F.right(line, m - half))]
 
-    return F.when(n >= LEAST_CHARS, F.array(*keys(n), *keys(n - 1))).otherwise(F.array().cast("array<bigint>"))
+    return F.array(*keys(n), *keys(n - 1))
 
 
 def _shared(keyed: DataFrame, n: int) -> DataFrame:
@@ -153,7 +153,7 @@ def partners(docs: DataFrame, scratch: Scratch, text: str = "text", id: str = "d
             rows = [(line, *k) for line, text in zip(batch["line"], batch["text"], strict=True) for k in {k[0]: k for k in segment_keys(text, SEGMENTS)}.values()]
             yield pd.DataFrame(rows, columns=["line", "key", "a", "b"])
 
-    keyed = candidates.select("line", "text").mapInPandas(finer, "line binary, key long, a int, b int")
+    keyed = candidates.select("line", "text").mapInPandas(tidy(finer), "line binary, key long, a int, b int")
     spans = _shared(keyed, 2 * SEGMENTS * candidates.count()).groupBy("line").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     near = scratch.keep(candidates.join(spans, "line"), "near")
 
@@ -166,7 +166,7 @@ def partners(docs: DataFrame, scratch: Scratch, text: str = "text", id: str = "d
                 yield pd.DataFrame({"line": np.repeat(part["line"].to_numpy(object), sizes), "k1": np.concatenate([m[0] for m in made]), "k2": np.concatenate([m[1] for m in made]), "role": np.concatenate([m[2] for m in made])})
 
     # Both hashes make one key of 128 bits; equal variants of one line in a run of letters are one.
-    made = near.select("line", "text", "spans").mapInPandas(emit, "line binary, k1 long, k2 long, role byte")
+    made = near.select("line", "text", "spans").mapInPandas(tidy(emit), "line binary, k1 long, k2 long, role byte")
     made = made.select("line", F.unhex(F.concat(F.lpad(F.hex("k1"), 16, "0"), F.lpad(F.hex("k2"), 16, "0"))).alias("key"), "role").distinct()
     made = scratch.keep(made.join(small(near.select("line", "first")), "line"), "variants")
     found = [F.min(F.when(F.col("role") == r, F.struct(F.col("first"), F.col("line")))).alias(f"m{r}") for r in range(3)]
@@ -187,13 +187,15 @@ def find_duplicate_lines(docs: DataFrame, text: str = "text", id: str = "doc_id"
     """Per document: id, n_lines, n_kept, dropped (line numbers from 0, ascending).
 
     Lines are parted by ``\\n`` and compared in lower case without white space around them. A
-    line goes if an earlier line, by id, then order of reading, then number, is equal or, from
-    LEAST_CHARS characters on, within one inserted, deleted or replaced character. Blank lines
-    always stay and are not counted. A null or empty text has no lines. Null ids come first.
+    line goes if an earlier line, by id, then order of reading, then number, is equal or within
+    one inserted, deleted or replaced character, however short both are. Blank lines always stay
+    and are not counted. A null or empty text has no lines. Null ids come first; rows that repeat
+    an id are rows of their own; an empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
     lines, judged = partners(docs, scratch, text, id)
     special = scratch.keep(judged.where("n > 1 or best < first"), "special")  # all others stay as they are
+    scratch.only("lines", "special")
     met = attach(lines, special.select("line", "n", "best"), "line", "n", lines.count(), "row")
     goes = F.col("best").isNotNull() & (F.col("best") < F.struct("id", "row", "line_no"))
     per = met.groupBy("row", "id").agg(F.count("*").alias("n_lines"), F.array_sort(F.collect_list(F.when(goes, F.col("line_no")))).alias("dropped"))
@@ -202,11 +204,14 @@ def find_duplicate_lines(docs: DataFrame, text: str = "text", id: str = "doc_id"
 
 
 def remove_lines(docs: DataFrame, found: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """``docs``, with one row for each id, without the lines that ``find_duplicate_lines`` dropped."""
+    """``docs`` without the lines that ``find_duplicate_lines`` dropped. ValueError if ids repeat: lines would be told apart by nothing."""
+    if docs.groupBy(id).count().where("count > 1").take(1):
+        raise ValueError(f"{id} repeats")
     drops = found.where(F.size("dropped") > 0).select(F.col(id).alias("__id"), F.col("dropped").alias("__dropped"))
     kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x, k: ~F.array_contains("__dropped", k)), "\n")
     return docs.join(drops, F.col(id).eqNullSafe(F.col("__id")), "left").select(*[F.when(F.col("__dropped").isNull(), F.col(text)).otherwise(kept).alias(c) if c == text else F.col(c) for c in docs.columns])
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's duplicate lines; see ``find_duplicate_lines`` for odd rows."""
     return find_duplicate_lines(table(spark, sf_dir, "documents"))
