@@ -9,21 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftlink.llm import decontaminate, exact_dedup, lang_id, ngram_join, packing
-from weftlink.llm.common import Scratch, table
+from weftlink.llm.common import Scratch, drop_texts, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Documents go whose language is this uncertain, or that have no letter.
-LEAST_SCORE = 0.5
+#: Documents go whose n-grams are less like those of the language found than this: 1 is usual, 0 is what was never seen.
+LEAST_FIT = 0.5
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """The texts and their digests: all that a judgement of texts needs."""
+    return docs.select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("__sha"), F.col("text").alias("__text"))
 
 
 def reject_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled rows teach stay; without labelled rows all stay."""
+    """Documents in a language that the labelled rows teach stay; those without a letter, null texts too, go.
+
+    Without labelled rows all stay.
+    """
     names, matrix = lang_id.fit(docs)
     if not names:
         return docs
-    found = lang_id.predict(docs.select(F.struct("*").alias("__doc"), F.col("text").alias("__text")), names, matrix, "__text")
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("__doc.*")
+    found = lang_id.predict(_texts(docs), names, matrix, "__text")
+    return drop_texts(docs, found.where((F.col("lang_pred") == "und") | (F.col("fit") < LEAST_FIT)), "text", Scratch(spark))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +45,9 @@ def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item stay."""
-    found = decontaminate.find_items(docs.select(F.struct("*").alias("__doc"), F.col("text").alias("__text")), table(spark, sf_dir, "benchmark"), "__text", out="__leaks")
-    return found.where(F.size("__leaks") == 0).select("__doc.*")
+    """Documents that hold no benchmark item stay; null and empty texts hold none."""
+    found = decontaminate.find_items(_texts(docs), table(spark, sf_dir, "benchmark"), "__text", out="__leaks")
+    return drop_texts(docs, found.where(F.size("__leaks") > 0), "text", Scratch(spark))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +68,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written to the shared folder and read again."""
+    """All stages over documents; each result is written to the shared folder and read again.
+
+    An empty table passes through; repeated rows, null ids and columns of any name are as each stage says.
+    """
     scratch = Scratch(spark)
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
