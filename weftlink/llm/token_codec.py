@@ -3,16 +3,19 @@
 A block holds whole documents and decodes alone: its model starts afresh and its content is
 checksummed. Its ids are dealt over lanes, each a contiguous stretch of the stream with a range
 coder of its own; a step codes one id of every lane, so the arithmetic runs in numpy. The model
-is shared by the lanes and adapts after each step, on both sides alike:
+is shared by the lanes of a block and adapts after each step, on both sides alike:
 
 * order 0: adaptive frequencies of all ids;
 * order 1 and order 2: the id last seen after the one or two ids before, with a confidence.
 
 The two predictions get probability mass by how often predictions of their confidence came
-true, the rest is spread by the order-0 frequencies; the mixture drives the coder.
+true, the rest is spread by the order-0 frequencies; the mixture drives the coder. Several blocks
+go through a step together, each with its own model; what a block holds does not depend on it.
 
-Block: magic ``WFT1``, crc32 of all that follows, then a header of counts, the documents (a null
-flag, id and number of ids each), the words of each lane, and the lanes' 16-bit words.
+File: blocks, one after another, each ended by a newline. Block: magic ``WFT2``, crc32 of all
+that follows, length of the body, then the body: its place (task and number), counts, the
+documents (a null flag, id and number of ids each), the words of each lane, and the lanes'
+16-bit words. All numbers are little-endian. The order of blocks is that of their places.
 """
 
 from __future__ import annotations
@@ -28,109 +31,118 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, running_total, small, small_batches, table, tidy
 from .tokens import Encoder
 
 END_ID = 2
-#: Ids after which a block ends with the document at hand.
-BLOCK_IDS = 1 << 21
-LANES = 8192
-MAGIC = b"WFT1"
+#: Ids after which a block ends with the document at hand, and blocks coded together and written to one file.
+BLOCK_IDS, TOGETHER = 1 << 20, 8
+LANES = 1024
+MAGIC = b"WFT2"
 
 _TOTAL = 28  # bits of the coder's probabilities
 _BASE = 22  # bits of the order-0 frequencies; the order-0 share never falls below 2 ** (_BASE - _TOTAL)
 _LOW, _WORD = 48, 16  # bits of a lane's low end, and of what it puts out at a time
-_U = np.uint64
-_MASK, _TOP = _U((1 << _LOW) - 1), _U(1 << (_LOW - _WORD))
+_MASK, _TOP = (1 << _LOW) - 1, 1 << (_LOW - _WORD)
 _TABLE = 20  # bits of the order-2 table's index
-_LEVELS = 8  # confidences
+_LEVELS = 8  # confidences, in the low three bits of a table's entry
+_STATES = 2 * _LEVELS * _LEVELS
+_EVERY = 32  # steps between two counts of frequencies and hits
+_HEAD, _BODY = struct.Struct("<4sIQ"), struct.Struct("<IIIQI")
 
 
 class Mixture:
-    """The model of one block; encoder and decoder put it through the same steps."""
+    """The models of some blocks; encoder and decoder put them through the same steps.
 
-    def __init__(self, vocabulary: int):
-        self.size = vocabulary
-        self.seen = np.zeros(vocabulary, np.int64)
-        self.recent: list[np.ndarray] = []
+    ``block`` tells the block of each lane. Lanes that are still active are the first ones.
+    """
+
+    def __init__(self, vocabulary: int, block: np.ndarray):
+        self.size, self.blocks = vocabulary, int(block.max()) + 1
+        self.seen = np.zeros(self.blocks * vocabulary, np.int64)
+        self.table1, self.table2 = np.zeros(self.blocks << 16, np.int32), np.zeros(self.blocks << _TABLE, np.int32)
+        n = _STATES * self.blocks
+        self.tries, self.hits1, self.hits2 = np.full(n, 2.0), np.full(n, 0.1), np.full(n, 0.1)
+        # Where each lane's block begins in the tables of all blocks.
+        self.in1, self.in2, self.in_states = block << 16, block << _TABLE, block * _STATES
+        self.in_ids, self.in_ends, self.in_line = block * vocabulary, block * (vocabulary + 1), block << _BASE
+        self.coded: list[np.ndarray] = []
+        self.outcomes: list[np.ndarray] = []
         self.steps = 0
-        self.id1, self.sure1 = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int8)
-        self.id2, self.sure2 = np.zeros(1 << _TABLE, np.int32), np.zeros(1 << _TABLE, np.int8)
-        self.tries = np.full(2 * _LEVELS * _LEVELS, 2.0)
-        self.hits1 = np.full(2 * _LEVELS * _LEVELS, 0.1)
-        self.hits2 = np.full(2 * _LEVELS * _LEVELS, 0.1)
-        self._frequencies()
-        self._masses()
-
-    def _frequencies(self) -> None:
-        for x in self.recent:
-            self.seen += np.bincount(x, minlength=self.size)
-        self.recent = []
-        total = int(self.seen.sum())
-        spare = (1 << _BASE) - self.size
-        own = 1 + self.seen * spare // max(total, 1) if total else np.full(self.size, (1 << _BASE) // self.size)
-        self.ends = np.zeros(self.size + 1, np.uint64)
-        np.cumsum(own, out=self.ends[1:])
-
-    def _masses(self) -> None:
+        self._count()
+
+    def _count(self) -> None:
+        """Frequencies and masses from what was coded so far."""
+        if self.coded:
+            self.seen += np.bincount(np.concatenate(self.coded), minlength=len(self.seen))
+            n = np.bincount(np.concatenate(self.outcomes), minlength=3 * len(self.tries)).reshape(-1, 3)
+            self.tries += n.sum(axis=1)
+            self.hits1 += n[:, 1]
+            self.hits2 += n[:, 2]
+            self.coded, self.outcomes = [], []
+        seen = self.seen.reshape(self.blocks, self.size)
+        total, spare = seen.sum(axis=1), (1 << _BASE) - self.size
+        own = np.where(total[:, None] > 0, 1 + (seen * (spare / np.maximum(total, 1))[:, None]).astype(np.int64), (1 << _BASE) // self.size)
+        ends = np.zeros((self.blocks, self.size + 1), np.int64)
+        np.cumsum(own, axis=1, out=ends[:, 1:])
+        self.ends = ends.ravel()
+        self.line = (ends + (np.arange(self.blocks) << _BASE)[:, None]).ravel()  # ascending over all blocks
         most = (1 << _TOTAL) - (1 << _BASE)
-        self.mass2 = (self.hits2 / self.tries * most).astype(np.uint64)
-        self.mass1 = (self.hits1 / self.tries * most).astype(np.uint64)
+        self.mass1 = (self.hits1 / self.tries * most).astype(np.int64)
+        self.mass2 = (self.hits2 / self.tries * most).astype(np.int64)
 
     def predict(self, before1: np.ndarray, before2: np.ndarray) -> None:
         """Sets, per lane, both predictions and their masses."""
-        self.at1 = before1 & 0xFFFF
-        self.at2 = ((before2 * 0x9E3779B1 + before1 * 0x85EBCA77) >> 9) & ((1 << _TABLE) - 1)
-        self.p1, self.p2 = self.id1[self.at1], self.id2[self.at2]
-        self.c1, self.c2 = self.sure1[self.at1], self.sure2[self.at2]
-        self.state = (self.c2.astype(np.int64) * _LEVELS + self.c1) * 2 + (self.p1 == self.p2)
+        m = self.m = len(before1)
+        self.at1 = self.in1[:m] + (before1 & 0xFFFF)
+        self.at2 = self.in2[:m] + (((before2 * 0x9E3779B1 + before1 * 0x85EBCA77) >> 9) & ((1 << _TABLE) - 1))
+        self.v1, self.v2 = self.table1[self.at1], self.table2[self.at2]
+        self.p1, self.p2 = self.v1 >> 3, self.v2 >> 3
+        self.c1, self.c2 = self.v1 & 7, self.v2 & 7
+        self.state = self.in_states[:m] + (self.c2 * (2 * _LEVELS) + self.c1 * 2 + (self.p1 == self.p2))
         self.m1, self.m2 = self.mass1[self.state], self.mass2[self.state]
-        self.rest = _U(1 << _TOTAL) - self.m1 - self.m2
+        self.rest = (1 << _TOTAL) - self.m1 - self.m2
 
     def interval(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of these ids, of 2 ** _TOTAL."""
-        a = (self.ends[x] * self.rest) >> _U(_BASE)
-        b = (self.ends[x + 1] * self.rest) >> _U(_BASE)
-        start = a + self.m1 * (x > self.p1) + self.m2 * (x > self.p2)
-        return start, b - a + self.m1 * (x == self.p1) + self.m2 * (x == self.p2)
-
-    def find(self, v: np.ndarray) -> np.ndarray:
-        """The ids whose intervals hold these points; beyond the last id's, the last."""
-        low, high = np.minimum(self.p1, self.p2), np.maximum(self.p1, self.p2)
-        first = np.where(self.p1 <= self.p2, self.m1, self.m2)
-        second = np.where(self.p1 <= self.p2, self.m2, self.m1)
-        one = low == high
-        first = np.where(one, first + second, first)
-        second = np.where(one, _U(0), second)
-        l0, l1 = (self.ends[low] * self.rest) >> _U(_BASE), (self.ends[low + 1] * self.rest) >> _U(_BASE)
-        h0, h1 = (self.ends[high] * self.rest) >> _U(_BASE), (self.ends[high + 1] * self.rest) >> _U(_BASE)
-        past = v >= l1 + first
-        at_low = (v >= l0) & ~past
-        u = np.where(past, v - np.where(past, first, _U(0)), v)
-        past_high = past & ~one & (u >= h1 + second)
-        at_high = past & ~one & (u >= h0) & ~past_high
-        u = np.where(past_high, u - np.where(past_high, second, _U(0)), u)
+        e = self.in_ends[: self.m] + x
+        a = (self.ends[e] * self.rest) >> _BASE
+        b = (self.ends[e + 1] * self.rest) >> _BASE
+        return a + self.m1 * (x > self.p1) + self.m2 * (x > self.p2), b - a + self.m1 * (x == self.p1) + self.m2 * (x == self.p2)
+
+    def find(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids whose intervals hold these points (beyond the last id's, the last), and the intervals."""
+        s1, w1 = self.interval(self.p1)
+        s2, w2 = self.interval(self.p2)
+        d1, d2 = v - s1, v - s2
+        hit1, hit2 = (d1 >= 0) & (d1 < w1), (d2 >= 0) & (d2 < w2)
+        out = np.where(hit1, self.p1, self.p2).astype(np.int64)
+        start, width = np.where(hit1, s1, s2), np.where(hit1, w1, w2)
+        k = np.flatnonzero(~(hit1 | hit2))
+        rest, first, m1, m2 = self.rest[k], self.in_ends[k], self.m1[k], self.m2[k]
+        u = v[k] - m1 * (d1[k] > 0) - m2 * (d2[k] > 0)
         # The id whose scaled start is the last not beyond u: the first estimate is at most one off.
-        x = np.searchsorted(self.ends, ((u << _U(_BASE)) // self.rest).astype(np.uint64), "right").astype(np.int64) - 1
-        x = np.minimum(x, self.size - 1)
-        x = np.where((x < self.size - 1) & (((self.ends[np.minimum(x + 1, self.size)] * self.rest) >> _U(_BASE)) <= u), x + 1, x)
-        return np.where(at_low, low, np.where(at_high, high, x)).astype(np.int64)
+        key = (u << _BASE) // rest + self.in_line[k]
+        order = np.argsort(key)  # sorted keys find their places much faster
+        x = np.empty(len(k), np.int64)
+        x[order] = np.searchsorted(self.line, key[order], "right")
+        x = np.minimum(x - 1 - first, self.size - 1)
+        x += (x < self.size - 1) & (((self.ends[first + np.minimum(x + 1, self.size)] * rest) >> _BASE) <= u)
+        a, b = (self.ends[first + x] * rest) >> _BASE, (self.ends[first + x + 1] * rest) >> _BASE
+        out[k], start[k], width[k] = x, a + m1 * (x > self.p1[k]) + m2 * (x > self.p2[k]), b - a
+        return out, start, width
 
     def learn(self, x: np.ndarray) -> None:
         """After a step. Where lanes share a context, the last lane's word counts."""
         right1, right2 = x == self.p1, x == self.p2
-        n = len(self.tries)
-        self.tries += np.bincount(self.state, minlength=n)
-        self.hits2 += np.bincount(self.state[right2], minlength=n)
-        self.hits1 += np.bincount(self.state[right1 & ~right2], minlength=n)
-        for ids, sure, at, c, p, right in ((self.id1, self.sure1, self.at1, self.c1, self.p1, right1), (self.id2, self.sure2, self.at2, self.c2, self.p2, right2)):
-            sure[at] = np.where(right, np.minimum(c + 1, _LEVELS - 1), np.maximum(c - 1, 1))
-            ids[at] = np.where(right | (c > 1), p, x)
-        self.recent.append(x)
+        fresh = x * _LEVELS + 1
+        for entries, at, v, c, right in ((self.table1, self.at1, self.v1, self.c1, right1), (self.table2, self.at2, self.v2, self.c2, right2)):
+            entries[at] = np.where(right, v + (c < _LEVELS - 1), np.where(c > 1, v - 1, fresh))
+        self.coded.append(x + self.in_ids[: self.m])
+        self.outcomes.append(self.state * 3 + np.where(right2, 2, right1))
         self.steps += 1
-        if self.steps < 8 or self.steps % 8 == 0:
-            self._frequencies()
-            self._masses()
+        if self.steps < 8 or self.steps % _EVERY == 0:
+            self._count()
 
 
 def _shape(n: int) -> tuple[int, int]:
@@ -139,117 +151,161 @@ def _shape(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
-def encode_ids(ids: np.ndarray, vocabulary: int) -> bytes:
-    """The lanes of these ids: words of each lane, then all words."""
-    n = len(ids)
-    if not n:
-        return b""
-    lanes, steps = _shape(n)
-    grid = np.zeros(lanes * steps, np.int64)
-    grid[:n] = ids
-    grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
-    model = Mixture(vocabulary)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 1 << _LOW, np.uint64)
-    out, at = np.zeros((lanes, 3 * steps + 4), np.uint16), np.zeros(lanes, np.int64)
-    before1 = before2 = np.zeros(lanes, np.int64)
-    for t in range(steps):
-        m = min(lanes, -(-(n - t) // steps))  # lane k holds ids k * steps and on
-        x = grid[t, :m]
+class _Lanes:
+    """The lanes of some blocks, the longest first: those active at a step come before all others."""
+
+    def __init__(self, sizes: list[int]):
+        self.sizes, self.shapes = sizes, [_shape(n) for n in sizes]
+        block = np.repeat(np.arange(len(sizes)), [lanes for lanes, _ in self.shapes])
+        lane = np.concatenate([np.arange(lanes) for lanes, _ in self.shapes])
+        steps = np.array([s for _, s in self.shapes])[block]
+        length = np.clip(np.array(sizes)[block] - lane * steps, 0, steps)
+        self.order = np.argsort(-length, kind="stable")
+        self.block, length = block[self.order], length[self.order]
+        self.n, self.steps = len(block), int(length[0])
+        self.active = np.searchsorted(-length, -np.arange(self.steps), "left").tolist()
+        place = np.empty(self.n, np.int64)
+        place[self.order] = np.arange(self.n)
+        self.places = np.split(place, np.cumsum([lanes for lanes, _ in self.shapes])[:-1])  # of each block's lanes
+
+
+def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
+    """Per block the lanes of its ids: words of each lane, then all words."""
+    full = [k for k, ids in enumerate(blocks) if len(ids)]
+    out = [b""] * len(blocks)
+    if not full:
+        return out
+    lanes = _Lanes([len(blocks[k]) for k in full])
+    grid = np.zeros((lanes.steps, lanes.n), np.int32)
+    for k, (own, steps), places in zip(full, lanes.shapes, lanes.places, strict=True):
+        padded = np.zeros(own * steps, np.int32)
+        padded[: len(blocks[k])] = blocks[k]
+        grid[:steps, places] = padded.reshape(own, steps).T
+    model = Mixture(vocabulary, lanes.block)
+    low, span = np.zeros(lanes.n, np.int64), np.full(lanes.n, 1 << _LOW, np.int64)
+    words, at = np.zeros((lanes.n, lanes.steps // 2 + 4 * _EVERY), np.uint16), np.zeros(lanes.n, np.int64)
+    before1 = before2 = np.zeros(lanes.n, np.int64)
+
+    def put(lane: np.ndarray, word: np.ndarray) -> None:
+        words[lane, at[lane]] = word
+        at[lane] += 1
+
+    for t, m in enumerate(lanes.active):
+        if t % _EVERY == 0 and at.max() + 4 * _EVERY > words.shape[1]:  # a step puts out three words at most
+            words = np.concatenate([words, np.zeros_like(words)], axis=1)
+        x = grid[t, :m].astype(np.int64)
         model.predict(before1[:m], before2[:m])
         start, width = model.interval(x)
-        r = span[:m] >> _U(_TOTAL)
-        low[:m] += r * start
-        span[:m] = r * width
-        _renormalise(low[:m], span[:m], lambda lane, words: _put(out, at, lane, words))
+        _narrow(low[:m], span[:m], span[:m] >> _TOTAL, start, width, put)
         model.learn(x)
         before2, before1 = before1, x
+    if at.max() + 4 > words.shape[1]:
+        words = np.concatenate([words, np.zeros((lanes.n, 4), np.uint16)], axis=1)
     for k in range(_LOW // _WORD):
-        _put(out, at, np.arange(lanes), (low >> _U(_LOW - _WORD * (k + 1))) & _U(0xFFFF))
-    return at.astype("<u4").tobytes() + out[np.arange(out.shape[1]) < at[:, None]].astype("<u2").tobytes()
-
-
-def _put(out: np.ndarray, at: np.ndarray, lane: np.ndarray, words: np.ndarray) -> None:
-    out[lane, at[lane]] = words
-    at[lane] += 1
-
-
-def _renormalise(low: np.ndarray, span: np.ndarray, shift) -> None:
-    """While a lane's top word is settled, or its range too narrow, its top word leaves; in place."""
-    lane = np.arange(len(low))
+        put(np.arange(lanes.n), (low >> (_LOW - _WORD * (k + 1))) & 0xFFFF)
+    for k, places in zip(full, lanes.places, strict=True):
+        n = at[places]
+        out[k] = n.astype("<u4").tobytes() + words[places][np.arange(words.shape[1]) < n[:, None]].astype("<u2").tobytes()
+    return out
+
+
+def _narrow(low: np.ndarray, span: np.ndarray, unit: np.ndarray, start: np.ndarray, width: np.ndarray, shift) -> None:
+    """Ranges become those of the ids; while a lane's top word is settled, or its range too narrow, the word leaves. In place."""
+    low += unit * start
+    span[:] = unit * width
+    lane, part, wide = np.arange(len(low)), low, span
     while True:
-        settled = ((low[lane] ^ (low[lane] + span[lane])) < _TOP)
-        narrow = span[lane] < _TOP
-        lane, settled = lane[settled | narrow], settled[settled | narrow]
-        if not len(lane):
+        settled = (part ^ (part + wide)) < _TOP
+        k = np.flatnonzero(settled | (wide < _TOP))
+        if not len(k):
             return
-        part, width = low[lane], span[lane]
-        width = np.where(settled, width, (_U(0) - part) & (_TOP - _U(1)))
-        shift(lane, (part >> _U(_LOW - _WORD)) & _U(0xFFFF))
-        low[lane] = (part << _U(_WORD)) & _MASK
-        span[lane] = width << _U(_WORD)
-
-
-def decode_ids(data: bytes, n: int, vocabulary: int) -> np.ndarray:
-    """What encode_ids() was given."""
-    if not n:
-        return np.empty(0, np.int64)
-    lanes, steps = _shape(n)
-    counts = np.frombuffer(data, "<u4", lanes).astype(np.int64)
-    words = np.r_[np.frombuffer(data, "<u2", offset=4 * lanes), np.zeros(4, np.uint16)].astype(np.uint64)
-    at = np.cumsum(counts) - counts
-    code = np.zeros(lanes, np.uint64)
+        lane, settled, part, wide = lane[k], settled[k], part[k], wide[k]
+        wide = np.where(settled, wide, -part & (_TOP - 1)) << _WORD
+        shift(lane, part >> (_LOW - _WORD))
+        part = (part << _WORD) & _MASK
+        low[lane], span[lane] = part, wide
+
+
+def decode_blocks(data: list[bytes], sizes: list[int], vocabulary: int) -> list[np.ndarray]:
+    """What encode_blocks() was given, from what it gave and the numbers of ids."""
+    full = [k for k, n in enumerate(sizes) if n]
+    out = [np.empty(0, np.int32)] * len(sizes)
+    if not full:
+        return out
+    lanes = _Lanes([sizes[k] for k in full])
+    counts = np.concatenate([np.frombuffer(data[k], "<u4", own) for k, (own, _) in zip(full, lanes.shapes, strict=True)]).astype(np.int64)
+    words = np.concatenate([np.frombuffer(data[k], "<u2", offset=4 * own) for k, (own, _) in zip(full, lanes.shapes, strict=True)] + [np.zeros(4, np.uint16)])
+    at = (np.cumsum(counts) - counts)[lanes.order]
+    code = np.zeros(lanes.n, np.int64)
     for _ in range(_LOW // _WORD):
-        code = (code << _U(_WORD)) | words[at]
+        code = (code << _WORD) | words[at]
         at += 1
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 1 << _LOW, np.uint64)
-    grid = np.zeros((steps, lanes), np.int64)
-    model = Mixture(vocabulary)
-    before1 = before2 = np.zeros(lanes, np.int64)
+    low, span = np.zeros(lanes.n, np.int64), np.full(lanes.n, 1 << _LOW, np.int64)
+    grid = np.zeros((lanes.steps, lanes.n), np.int32)
+    model = Mixture(vocabulary, lanes.block)
+    before1 = before2 = np.zeros(lanes.n, np.int64)
 
     def shift(lane: np.ndarray, _: np.ndarray) -> None:
-        code[lane] = ((code[lane] << _U(_WORD)) & _MASK) | words[at[lane]]
+        code[lane] = ((code[lane] << _WORD) & _MASK) | words[at[lane]]
         at[lane] += 1
 
-    for t in range(steps):
-        m = min(lanes, -(-(n - t) // steps))
+    for t, m in enumerate(lanes.active):
         model.predict(before1[:m], before2[:m])
-        r = span[:m] >> _U(_TOTAL)
-        x = model.find(np.minimum((code[:m] - low[:m]) // r, _U((1 << _TOTAL) - 1)))
+        unit = span[:m] >> _TOTAL
+        x, start, width = model.find(np.minimum((code[:m] - low[:m]) // unit, (1 << _TOTAL) - 1))
         grid[t, :m] = x
-        start, width = model.interval(x)
-        low[:m] += r * start
-        span[:m] = r * width
-        _renormalise(low[:m], span[:m], shift)
+        _narrow(low[:m], span[:m], unit, start, width, shift)
         model.learn(x)
         before2, before1 = before1, x
-    return np.ascontiguousarray(grid.T).ravel()[:n]
-
-
-def write_block(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, vocabulary: int) -> bytes:
-    nulls = np.array([x is None for x in doc_ids], np.uint8)
-    body = struct.pack("<IQI", len(doc_ids), len(ids), vocabulary) + nulls.tobytes() + np.array([x or 0 for x in doc_ids], "<i8").tobytes() + np.array(counts, "<u8").tobytes() + encode_ids(ids, vocabulary)
-    return MAGIC + struct.pack("<I", zlib.crc32(body)) + body
-
-
-def read_block(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """Document ids, their numbers of ids, and all ids. ValueError if the block is damaged."""
-    if data[:4] != MAGIC or struct.unpack_from("<I", data, 4)[0] != zlib.crc32(data[8:]):
-        raise ValueError("damaged block")
-    docs, n, vocabulary = struct.unpack_from("<IQI", data, 8)
-    at = 8 + struct.calcsize("<IQI")
-    nulls = np.frombuffer(data, np.uint8, docs, at)
-    keys = np.frombuffer(data, "<i8", docs, at + docs).tolist()
-    counts = np.frombuffer(data, "<u8", docs, at + 9 * docs).astype(np.int64)
-    return [None if null else key for null, key in zip(nulls, keys, strict=True)], counts, decode_ids(data[at + 17 * docs :], n, vocabulary)
-
-
-def encode_corpus(docs: DataFrame, tokenizer: str, end_id: int = END_ID, text: str = "text", id: str = "doc_id", block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Blocks of all documents in ascending order of id: task, block, n_ids, data.
+    for k, (_, steps), places in zip(full, lanes.shapes, lanes.places, strict=True):
+        out[k] = np.ascontiguousarray(grid[:steps, places].T).ravel()[: sizes[k]]
+    return out
+
+
+Document = tuple[int | None, bytes]
+
+
+def write_blocks(task: int, first: int, blocks: list[list[Document]], vocabulary: int) -> list[bytes]:
+    """Blocks of documents (id, ids as little-endian unsigned 32-bit), numbered from ``first``."""
+    ids = [np.frombuffer(b"".join(x for _, x in own), "<u4") for own in blocks]
+    out = []
+    for k, (own, mine, coded) in enumerate(zip(blocks, ids, encode_blocks(ids, vocabulary), strict=True)):
+        nulls = np.array([key is None for key, _ in own], np.uint8)
+        body = _BODY.pack(task, first + k, len(own), len(mine), vocabulary) + nulls.tobytes() + np.array([key or 0 for key, _ in own], "<i8").tobytes() + np.array([len(x) // 4 for _, x in own], "<u8").tobytes() + coded
+        out.append(_HEAD.pack(MAGIC, zlib.crc32(struct.pack("<Q", len(body)) + body), len(body)) + body)
+    return out
+
+
+def read_blocks(data: bytes, together: int = TOGETHER) -> Iterator[tuple[int, int, list[int | None], np.ndarray, np.ndarray]]:
+    """Of a file's blocks: task, number, document ids, their numbers of ids, and all ids. ValueError if one is damaged."""
+    held, at = [], 0
+    while at < len(data):
+        if at + _HEAD.size > len(data):
+            raise ValueError("damaged block")
+        magic, check, size = _HEAD.unpack_from(data, at)
+        body = data[at + _HEAD.size : at + _HEAD.size + size]
+        if magic != MAGIC or len(body) != size or check != zlib.crc32(struct.pack("<Q", size) + body):
+            raise ValueError("damaged block")
+        held.append(body)
+        at += _HEAD.size + size + 1
+        if len(held) == together or at >= len(data):
+            heads = [_BODY.unpack_from(b) for b in held]
+            coded = [b[_BODY.size + 17 * h[2] :] for b, h in zip(held, heads, strict=True)]
+            for body, (task, number, docs, _, _), ids in zip(held, heads, decode_blocks(coded, [h[3] for h in heads], heads[0][4]), strict=True):
+                nulls = np.frombuffer(body, np.uint8, docs, _BODY.size)
+                keys = np.frombuffer(body, "<i8", docs, _BODY.size + docs).tolist()
+                counts = np.frombuffer(body, "<u8", docs, _BODY.size + 9 * docs).astype(np.int64)
+                yield task, number, [None if null else key for null, key in zip(nulls, keys, strict=True)], counts, ids
+            held = []
+
+
+def write_corpus(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, text: str = "text", id: str = "doc_id", block_ids: int = BLOCK_IDS) -> None:
+    """Files of all documents in ascending order of id, in a new folder.
 
     A document is its ids and ``end_id``; a null text is empty. Rows with a null id come first;
     rows that share an id keep the order they were read in. Documents are never cut: a block
-    ends with the document that fills it. An empty table gives no blocks. The order of rows is
-    that of ``task`` and ``block``.
+    ends with the document that fills it, so a document longer than ``block_ids`` makes a longer
+    block. An empty table gives no blocks. A task that is run again writes its files again.
     """
     row = docs.select(F.col(id).cast("long").alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"), F.monotonically_increasing_id().alias("__row"))
     ordered = row.repartitionByRange("__id", "__row").sortWithinPartitions("__id", "__row").select(F.col("__id").cast("string").alias("__id"), "__text")
@@ -257,50 +313,61 @@ def encode_corpus(docs: DataFrame, tokenizer: str, end_id: int = END_ID, text: s
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, task = Encoder.of(tokenizer), TaskContext.get().partitionId()
         vocabulary = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
-        end = np.array([end_id], "<u4").tobytes()
-        keys: list[int | None] = []
-        parts: list[bytes] = []
-        size = block = 0
+        end = struct.pack("<I", end_id)
+        full: list[list[Document]] = []
+        own: list[Document] = []
+        size = number = 0
         for batch in batches:
             for a in range(0, len(batch), 200):
                 part = batch.iloc[a : a + 200]
                 for key, ids in zip(part["__id"], encoder.encode(part["__text"].tolist()), strict=True):
-                    keys.append(None if key is None or key != key else int(key))
-                    parts.append(ids + end)
-                    size += len(parts[-1]) // 4
+                    own.append((None if key is None or key != key else int(key), ids + end))
+                    size += len(ids) // 4 + 1
                     if size >= block_ids:
-                        yield pd.DataFrame({"task": [task], "block": [block], "n_ids": [size], "data": [write_block(keys, [len(x) // 4 for x in parts], np.frombuffer(b"".join(parts), "<u4").astype(np.int64), vocabulary)]})
-                        keys, parts, size, block = [], [], 0, block + 1
-        if keys:
-            yield pd.DataFrame({"task": [task], "block": [block], "n_ids": [size], "data": [write_block(keys, [len(x) // 4 for x in parts], np.frombuffer(b"".join(parts), "<u4").astype(np.int64), vocabulary)]})
-
-    return ordered.mapInPandas(run, "task int, block int, n_ids long, data binary")
-
-
-def decode_corpus(blocks: DataFrame) -> DataFrame:
-    """Per document of written blocks: doc_id, start, n_tokens, ids_crc32, ids (little-endian unsigned 32-bit)."""
-    sums = blocks.groupBy("task").agg(F.sum("n_ids").alias("n")).orderBy("task").collect()  # a row for each file
-    starts: dict[int, int] = {}
-    total = 0
-    for r in sums:
-        starts[r["task"]] = total
-        total += r["n"]
-    within = blocks.select("task", "block", "n_ids").groupBy("task").agg(F.sort_array(F.collect_list(F.struct("block", "n_ids"))).alias("sizes"))
-    before = within.select("task", F.posexplode("sizes").alias("k", "one"), "sizes").select(F.col("task").alias("__task"), F.col("one.block").alias("__block"), F.aggregate(F.slice("sizes", F.lit(1), F.col("k")), F.lit(0).cast("long"), lambda s, x: s + x["n_ids"]).alias("before"))
-    joined = blocks.join(before, (F.col("task") == F.col("__task")) & (F.col("block") == F.col("__block"))).select("task", "before", "data")
+                        full.append(own)
+                        own, size = [], 0
+                        if len(full) == TOGETHER:
+                            yield pd.DataFrame({"data": write_blocks(task, number, full, vocabulary)})
+                            full, number = [], number + TOGETHER
+        full += [own] if own else []
+        encoder.forget()
+        if full:
+            yield pd.DataFrame({"data": write_blocks(task, number, full, vocabulary)})
+
+    blocks = ordered.mapInPandas(tidy(run), "data binary").select(F.col("data").cast("string").alias("value"))  # bytes as they are
+    with small_batches(docs.sparkSession):
+        blocks.write.option("maxRecordsPerFile", TOGETHER).text(path)
+
+
+def read_corpus(spark: SparkSession, path: str, scratch: Scratch, with_ids: bool = False) -> DataFrame:
+    """Per document of written files: doc_id, start, n_tokens, ids_crc32, and with ``with_ids`` ids (little-endian unsigned 32-bit).
+
+    ``start`` counts the ids of all documents before it. A damaged file raises an error.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for task, before, data in zip(batch["task"], batch["before"], batch["data"], strict=True):
-                keys, counts, ids = read_block(data)
-                raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts)
-                pieces = [raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
-                yield pd.DataFrame({"doc_id": [None if k is None else str(k) for k in keys], "start": starts[task] + int(before) + ends - counts, "n_tokens": counts, "ids_crc32": [zlib.crc32(x) for x in pieces], "ids": pieces})
-
-    return joined.mapInPandas(run, "doc_id string, start long, n_tokens long, ids_crc32 long, ids binary").withColumn("doc_id", F.col("doc_id").cast("long"))
+            for data in batch["content"]:
+                for task, number, keys, counts, ids in read_blocks(data):
+                    raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts)
+                    pieces = [raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
+                    rows = {"task": task, "block": number, "doc_id": [None if k is None else str(k) for k in keys], "within": ends - counts, "n_tokens": counts, "ids_crc32": [zlib.crc32(x) for x in pieces]}
+                    yield pd.DataFrame(rows | ({"ids": pieces} if with_ids else {}))
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    schema = "task long, block long, doc_id string, within long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
+    read = scratch.keep(files.mapInPandas(tidy(run), schema), "documents")
+    sizes = read.groupBy("task", "block").agg(F.sum("n_tokens").alias("n"))
+    starts = running_total(sizes, ["task", "block"], "n", "before", scratch, "blocks").drop("n")
+    found = read.join(small(starts), ["task", "block"])
+    return found.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
 
 
 def op8_token_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document through the files: a null text is its end id alone; repeated and null ids are rows of their own; an empty table gives none."""
     scratch = Scratch(spark)
-    blocks = scratch.keep(encode_corpus(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")), "blocks")
-    return decode_corpus(blocks).drop("ids")
+    files = scratch.path("files")
+    write_corpus(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), files)
+    found = read_corpus(spark, files, scratch)
+    scratch.only("documents", "blocks")
+    return found
