@@ -8,6 +8,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import exists, written
+
+_IDS = ".ids"
 STATE = "map<string,struct<accepted:array<string>,rejected:array<string>,per_cycle:map<string,array<string>>>>"
 
 
@@ -38,9 +41,14 @@ def nested(entities: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def append_state(state: DataFrame, path: str, batch: int | str) -> None:
-    """Writes a batch of ``nested`` rows as JSON lines; a batch that is written again replaces itself."""
+    """Writes a batch of ``nested`` rows as JSON lines, and their ids beside; a batch that is written again replaces itself.
+
+    The lines come last: ids alone do not complete an entity, as the batch is then written again.
+    """
+    rows = written(state)
+    rows.select("entity_id").write.mode("overwrite").parquet(f"{path}{_IDS}/batch={batch}")
     line = F.to_json(F.create_map("entity_id", F.struct("accepted", "rejected", "per_cycle")))
-    state.select(line.alias("value")).write.mode("overwrite").text(f"{path}/batch={batch}")
+    rows.select(line.alias("value")).write.mode("overwrite").text(f"{path}/batch={batch}")
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
@@ -54,6 +62,19 @@ def completed(spark: SparkSession, path: str) -> DataFrame:
     return read_state(spark, path).select("entity_id").distinct()
 
 
+def completed_but(spark: SparkSession, path: str, batch: int | str) -> DataFrame:
+    """entity_id of all batches but this one. A state without ids beside it is read once, to write them."""
+    if not exists(spark, f"{path}{_IDS}"):
+        if not exists(spark, path):
+            return spark.createDataFrame([], "entity_id string")
+        mine = F.col("_metadata.file_path").contains(f"/batch={batch}/")
+        lines = spark.read.text(path, recursiveFileLookup=True).where(~mine).where("trim(value) <> ''")
+        found = lines.select(F.explode(F.from_json("value", STATE)).alias("entity_id", "s")).where("s is not null")
+        found.select("entity_id").distinct().write.parquet(f"{path}{_IDS}/batch=before")
+    ids = spark.read.schema("entity_id string, batch string").parquet(f"{path}{_IDS}")
+    return ids.where(F.col("batch") != str(batch)).select("entity_id").distinct()
+
+
 def pending(entities: DataFrame, done: DataFrame) -> DataFrame:
     """Entities that are not completed yet."""
     return entities.join(done.select("entity_id"), "entity_id", "left_anti")

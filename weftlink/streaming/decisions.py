@@ -7,23 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.state import append_state, completed, nested, pending
-from ..sources.scratch import exists
+from ..operators.state import append_state, completed_but, nested, pending
 
 
 def process_entities(spark: SparkSession, source: str, schema: str, decide: Callable[[DataFrame], DataFrame], state: str, checkpoint: str) -> StreamingQuery:
     """Reads entity files (Parquet) as they come, decides on new entities and appends their state.
 
     ``decide`` maps entities to decisions (entity_id, cand_id, cycle, seq, accepted). A batch
-    writes under its own number, so a repeated batch replaces itself; entities completed in other
-    batches are left out.
+    writes under its own number, so a repeated batch replaces itself with the same entities; those
+    completed in other batches are left out. Of other batches only the ids are read.
     """
 
     def batch(entities: DataFrame, number: int) -> None:
-        new = entities.select("entity_id").distinct()
-        if exists(entities.sparkSession, state):
-            done = completed(entities.sparkSession, state)
-            new = pending(new, done)
+        new = pending(entities.select("entity_id").distinct(), completed_but(entities.sparkSession, state, number))
         append_state(nested(new, decide(new)), state, number)
 
     stream = spark.readStream.schema(schema).parquet(source)
