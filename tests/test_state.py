@@ -112,5 +112,50 @@ def test_stream(spark, tables, tmp_path):
         ids.where(batch).write.mode("append").parquet(source)
         run = process_entities(spark, source, "entity_id string", lambda new: decisions.join(new, "entity_id"), target, f"file://{tmp_path}/checkpoint")
         assert run.awaitTermination(120)
-    rows = state.read_state(spark, target).collect()
-    assert sorted(r.entity_id for r in rows) == ["S1-001", "S1-002", "S1-003"]
+    read = lambda: sorted((r.entity_id, r.accepted, r.rejected, repr(r.per_cycle)) for r in state.read_state(spark, target).collect())
+    rows = read()
+    assert [r[0] for r in rows] == ["S1-001", "S1-002", "S1-003"]
+    # A batch that was written but not committed is replayed, and finds the same state.
+    commits = tmp_path / "checkpoint" / "commits"
+    for name in ("2", ".2.crc"):
+        if (commits / name).exists():
+            (commits / name).unlink()
+    assert run_again(spark, source, lambda new: decisions.join(new, "entity_id"), target, tmp_path) and read() == rows
+    for p in (tmp_path / "state" / "batch=2").iterdir():  # or was only half written
+        p.unlink()
+    (commits / "2").unlink()
+    (commits / ".2.crc").unlink(missing_ok=True)
+    assert run_again(spark, source, lambda new: decisions.join(new, "entity_id"), target, tmp_path) and read() == rows
+
+
+def run_again(spark, source, decide, target, tmp_path):
+    from weftlink.streaming.decisions import process_entities
+
+    return process_entities(spark, source, "entity_id string", decide, target, f"file://{tmp_path}/checkpoint").awaitTermination(120)
+
+
+def test_stream_over_an_older_state(spark, tables, tmp_path):
+    """Entities of a state without ids beside it are left out, whoever wrote it."""
+    ids, decisions = tables
+    (tmp_path / "state").mkdir()
+    (tmp_path / "state" / "x.txt").write_text('{"S1-003": {"accepted": ["a"], "rejected": [], "per_cycle": {"1": ["a"]}}}\nbroken\n')
+    ids.write.parquet(f"file://{tmp_path}/in")
+    assert run_again(spark, f"file://{tmp_path}/in", lambda new: decisions.join(new, "entity_id"), f"file://{tmp_path}/state", tmp_path)
+    rows = {r.entity_id: r.accepted for r in state.read_state(spark, f"file://{tmp_path}/state").collect()}
+    assert rows == {"S1-001": ["C-01", "C-03"], "S1-002": [], "S1-003": ["a"]}
+
+
+def test_files_of_their_names(spark, tables, tmp_path):
+    outputs.write_all(*tables, f"file://{tmp_path}", header=True, files=True)
+    assert (tmp_path / "matching_results.tsv").read_text() == "entity_id\tids\nS1-001\tC-01,C-03\nS1-002\t\nS1-003\tA,B\n"
+    assert (tmp_path / "candidate_pairs_per_cycle.tsv").read_text().splitlines()[-1] == "S1-003\t10\tZ"
+
+
+def test_checks(spark):
+    a = spark.createDataFrame([("fr",), ("us",)], "country string")
+    io.check_targets(a, a)
+    io.check_rows(a, a, "x")
+    with pytest.raises(FileNotFoundError):
+        io.check_targets(a, a.where("country = 'us'"))
+    with pytest.raises(io.RowCountError):
+        io.check_rows(a, a.limit(1), "x")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .state import FileWriteError, first_decisions, per_cycle
@@ -45,8 +45,34 @@ def write_tsv(df: DataFrame, path: str, order: list[F.Column], header: bool = Fa
         raise FileWriteError(path) from e
 
 
-def write_all(entities: DataFrame, decisions: DataFrame, path: str, header: bool = False) -> None:
+def merge_parts(spark: SparkSession, folder: str) -> None:
+    """The folder of ``write_tsv`` becomes one file of its name; the bytes stream through the driver."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(f"{folder}.merging")
+    fs = source.getFileSystem(conf)
+    out = fs.create(target, True)
+    try:
+        listed, parts = fs.listFiles(source, True), []
+        while listed.hasNext():
+            if (part := listed.next().getPath()).getName().startswith("part-"):
+                parts.append(part)
+        for part in sorted(parts, key=lambda p: p.toString()):
+            read = fs.open(part)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(read, out, conf, False)
+            finally:
+                read.close()
+    finally:
+        out.close()
+    fs.delete(source, True)
+    fs.rename(target, source)
+
+
+def write_all(entities: DataFrame, decisions: DataFrame, path: str, header: bool = False, files: bool = False) -> None:
+    """The three outputs as folders of parts or, with ``files``, as the files of these names."""
     id, cycle = F.col("entity_id"), F.col("cycle").try_cast("int")
     write_tsv(matching_results(entities, decisions), f"{path}/matching_results.tsv", [id], header)
     write_tsv(candidate_pairs(entities, decisions), f"{path}/candidate_pairs.tsv", [id], header)
     write_tsv(candidate_pairs_per_cycle(entities, decisions), f"{path}/candidate_pairs_per_cycle.tsv", [id, cycle], header)
+    for name in ("matching_results", "candidate_pairs", "candidate_pairs_per_cycle") if files else ():
+        merge_parts(entities.sparkSession, f"{path}/{name}.tsv")

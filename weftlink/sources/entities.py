@@ -102,6 +102,26 @@ def missing_targets(queries: DataFrame, targets: DataFrame) -> DataFrame:
     return discover_countries(queries).join(targets.select("country").distinct(), "country", "left_anti")
 
 
+class MissingTargetError(FileNotFoundError):
+    """A country of queries has no targets."""
+
+
+class RowCountError(RuntimeError):
+    """Cleaning or writing lost or made rows."""
+
+
+def check_targets(queries: DataFrame, targets: DataFrame) -> None:
+    """MissingTargetError if a country has queries but no target."""
+    if gone := [r["country"] for r in missing_targets(queries, targets).limit(20).collect()]:
+        raise MissingTargetError(f"no targets for {', '.join(gone)}")
+
+
+def check_rows(before: DataFrame, after: DataFrame, what: str) -> None:
+    """RowCountError unless both have as many rows."""
+    if (a := before.count()) != (b := after.count()):
+        raise RowCountError(f"{what}: {a} rows became {b}")
+
+
 def save_artifact(model, path: str, meta: dict) -> None:
     """A fitted pipeline and its threshold, parameters and feature names."""
     model.write().overwrite().save(f"{path}/model")
