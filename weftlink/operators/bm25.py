@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions.text import char_ngrams
+from ..sources.scratch import written
 
 DEFAULTS = Settings()
 DIGITS = 6
@@ -63,11 +64,13 @@ def build(corpus: DataFrame, text: str = "text", tokens: Column | None = None, s
     rows = corpus.select("block", "pos", "id", tokens.alias("tokens"))
     docs = rows.select("block", "pos", "id", F.size("tokens").cast("long").alias("dl"))
     stats = docs.groupBy("block").agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
-    tf = term_frequencies(rows, ["block", "pos", "id"], F.col("tokens"))
+    # Every posting carries its document's length; it is written once, for the vocabulary and the weights.
+    tf = written(term_frequencies(rows.withColumn("dl", F.size("tokens").cast("long")), ["block", "pos", "id", "dl"], F.col("tokens")))
     vocab = idf(tf.groupBy("block", "tok").agg(F.count("*").alias("df")), stats, settings.bm25_epsilon)
     k1, b = settings.bm25_k1, settings.bm25_b
     weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    joined = tf.join(docs, ["block", "pos", "id"]).join(stats.select("block", "avgdl"), "block").join(vocab.select("block", "tok", "idf"), ["block", "tok"])
+    vocab, stats = written(vocab), written(stats)
+    joined = tf.join(vocab.join(stats.select("block", "avgdl"), "block").select("block", "tok", "idf", "avgdl"), ["block", "tok"])
     return Index(joined.select("block", "tok", "pos", "id", "tf", weight.alias("weight")), docs, vocab, stats)
 
 
@@ -84,7 +87,7 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
     if k <= 0:
         raise InvalidKError(f"k must be positive: {k}")
     asked = term_frequencies(queries, ["block", "query_id"], F.col("tokens")).withColumnRenamed("tf", "qf")
-    scored = asked.join(index.postings, ["block", "tok"]).groupBy("block", "query_id", "pos", "id").agg(F.round(F.sum(F.col("qf") * F.col("weight")), DIGITS).alias("score"))
+    scored = asked.join(index.postings.where("weight <> 0"), ["block", "tok"]).groupBy("block", "query_id", "pos", "id").agg(F.round(F.sum(F.col("qf") * F.col("weight")), DIGITS).alias("score"))
     return rank(scored.where("score > 0"), k, ["block", "query_id"]).select("block", "query_id", "id", "pos", "score", "rank")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import features as X
-from ..functions.similarity import cosine
+from ..functions.similarity import cosine, on_distinct_pairs
 from ..functions.text import ADDRESS_ABBREVIATIONS, COUNTRY_VARIANTS, NAME_ABBREVIATIONS, char_ngrams, index_ngrams
 from ..operators import bm25, candidates, metrics, ml, outputs, state, vectors
 from ..sources.entities import discover_countries, explode_truth, missing_targets, union_targets
@@ -89,7 +89,7 @@ FROM {0}_q q LEFT JOIN (
   SELECT f.block, f.query_id, sum(idf * qf * qf * 2.5 / (qf + 1.5 * (0.25 + 0.75 * len(q.tokens) / avgdl))) AS total
   FROM {0}_qf f JOIN {0}_q q ON f.query_id = q.query_id JOIN {0}_vocab v ON f.block = v.block AND f.tok = v.tok JOIN {0}_stats s ON s.block = f.block GROUP BY ALL) t
 ON q.query_id = t.query_id"""
-_PAIRS = "pairs AS (SELECT a.country, a.entity_id, b.entity_id AS cand_id, a.name_for_bm25 AS name_a, b.name_for_bm25 AS name_b, a.addr_for_bm25 AS addr_a, b.addr_for_bm25 AS addr_b FROM clean a JOIN clean b ON a.country = b.country AND a.source = 'S1' AND b.source = 'S2')"
+_PAIRS = "pairs AS (SELECT m.entity_id, m.cand_id, a.name_for_bm25 AS name_a, b.name_for_bm25 AS name_b, a.addr_for_bm25 AS addr_a, b.addr_for_bm25 AS addr_b FROM merged m JOIN clean a ON m.entity_id = a.entity_id JOIN clean b ON m.cand_id = b.entity_id)"
 _STREAMS = f"""
 WITH {ENTITIES}, {_entity_bm25('name')}, {_entity_bm25('addr')},
 streams AS (SELECT query_id AS entity_id, id AS cand_id, 'name' AS stream, rank, score FROM name_ranked WHERE rank <= 20
@@ -135,7 +135,10 @@ def countries_without_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _index(spark: SparkSession, sf_dir: str, stream: str) -> tuple[bm25.Index, DataFrame]:
-    queries, targets = W.entities(spark, sf_dir)
+    return _indexed(*W.entities(spark, sf_dir), stream)
+
+
+def _indexed(queries: DataFrame, targets: DataFrame, stream: str) -> tuple[bm25.Index, DataFrame]:
     field = f"{stream}_for_bm25"
     tokens = index_ngrams(F.col(field), f"null{stream}")
     return bm25.build(targets.select(F.col("country").alias("block"), "pos", F.col("entity_id").alias("id"), field), tokens=tokens), queries.select(F.col("country").alias("block"), F.col("entity_id").alias("query_id"), tokens.alias("tokens"))
@@ -206,6 +209,22 @@ def semantic_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Features -------------------------------------------------------------------------------------------------------
 
+def _two_streams(queries: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    found, selfs = {}, queries.select("entity_id")
+    for stream in ("name", "addr"):
+        index, asked = _indexed(queries, targets, stream)
+        found[stream] = bm25.search(index, asked, K).select(F.col("query_id").alias("entity_id"), F.col("id").alias("cand_id"), "rank", "score")
+        selfs = selfs.join(bm25.self_scores(index, asked).select(F.col("query_id").alias("entity_id"), F.col("self_score").alias(f"bm25_{stream}_self_score")), "entity_id")
+    return candidates.tag_streams(**found), selfs
+
+
+def _candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """entity_id, cand_id, name_a, name_b, addr_a, addr_b of the candidates by name and by address, from all targets."""
+    queries, targets = W.entities(spark, sf_dir)
+    merged = candidates.merge_streams(_two_streams(queries, targets)[0]).select("entity_id", "cand_id")
+    return candidates.enrich(merged, queries, targets).select("entity_id", "cand_id", "name_a", "name_b", "addr_a", "addr_b")
+
+
 _W = "list_filter(string_split_regex({0}, '\\s+'), lambda t: t <> '')"
 _LEV = "(1 - levenshtein({0}, {1}) / greatest(length({0}), length({1}), 1))"
 
@@ -217,53 +236,44 @@ def _one_way(x: str, y: str) -> str:
 _INITIALS = "array_to_string(list_transform({0}, lambda t: substr(t, 1, 1)), '')"
 
 
-@query(f"""WITH {ENTITIES}, {_PAIRS}, w AS (SELECT *, {_W.format('name_a')} AS x, {_W.format('name_b')} AS y FROM pairs),
+@query(f"""{_STREAMS}, {_PAIRS}, w AS (SELECT *, {_W.format('name_a')} AS x, {_W.format('name_b')} AS y FROM pairs),
 n AS (SELECT *, jaro_winkler_similarity({_INITIALS.format('CASE WHEN len(x) >= len(y) THEN x ELSE y END')}, CASE WHEN len(x) >= len(y) THEN name_b ELSE name_a END) AS j1, jaro_winkler_similarity({_INITIALS.format('y')}, name_a) AS j2 FROM w)
 SELECT entity_id, cand_id, round(jaro_winkler_similarity(name_a, name_b), 6) AS dim_1_name_jaro_winkler, round(({_one_way('x', 'y')} + {_one_way('y', 'x')}) / 2, 6) AS dim_2_name_monge_elkan,
 round({_LEV.format('name_a', 'name_b')}, 6) AS dim_3_name_levenshtein_norm, CAST(name_a = name_b AS INTEGER) AS dim_4_name_exact_match,
 round(CASE WHEN greatest(len(x), len(y)) <= 1 THEN 0 WHEN len(x) = len(y) THEN greatest(j1, j2) ELSE j1 END, 6) AS dim_6_name_acronym_match FROM n""")
 def name_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = X.name_lexical(F.col("name_a"), F.col("name_b"))
-    made = W.blocked_pairs(spark, sf_dir).select("entity_id", "cand_id", *[c.alias(n) for n, c in found.items()])
+    made = on_distinct_pairs(_candidate_pairs(spark, sf_dir), "name_a", "name_b", found)
     return made.select("entity_id", "cand_id", *[F.round(n, 6).alias(n) if n != "dim_4_name_exact_match" else F.col(n) for n in found])
 
 
 @query()
 def name_phonetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = X.name_phonetic(F.col("name_a"), F.col("name_b"))
-    return W.blocked_pairs(spark, sf_dir).select("entity_id", "cand_id", *[c.alias(n) for n, c in found.items()])
+    return on_distinct_pairs(_candidate_pairs(spark, sf_dir), "name_a", "name_b", found).select("entity_id", "cand_id", *found)
 
 
 _NUMS = "list_distinct(regexp_extract_all({0}, '\\d+'))"
 
 
-@query(f"""WITH {ENTITIES}, {_PAIRS}, w AS (SELECT *, list_distinct({_W.format('addr_a')}) AS x, list_distinct({_W.format('addr_b')}) AS y, {_NUMS.format('addr_a')} AS m, {_NUMS.format('addr_b')} AS n FROM pairs)
+@query(f"""{_STREAMS}, {_PAIRS}, w AS (SELECT *, list_distinct({_W.format('addr_a')}) AS x, list_distinct({_W.format('addr_b')}) AS y, {_NUMS.format('addr_a')} AS m, {_NUMS.format('addr_b')} AS n FROM pairs)
 SELECT entity_id, cand_id, round(len(list_intersect(x, y)) / greatest(len(list_distinct(x || y)), 1), 6) AS dim_8_addr_jaccard, round(len(list_intersect(x, y)) / greatest(least(len(x), len(y)), 1), 6) AS dim_9_addr_containment,
 CAST(addr_a = addr_b AS INTEGER) AS dim_10_addr_exact_match, round(len(list_intersect(m, n)) / greatest(len(list_distinct(m || n)), 1), 6) AS dim_11_num_jaccard,
 CASE WHEN len(m) = 0 OR len(n) = 0 THEN -1 WHEN list_sort(m) = list_sort(n) THEN 1 ELSE 0 END AS dim_12_num_exact_match, CASE WHEN len(m) = 0 OR len(n) = 0 THEN 0 ELSE 1 END AS dim_13_num_presence FROM w""")
 def address_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = X.address_structural(F.col("addr_a"), F.col("addr_b")) | X.address_numeric(F.col("addr_a"), F.col("addr_b"))
     shares = {"dim_8_addr_jaccard", "dim_9_addr_containment", "dim_11_num_jaccard"}
-    return W.blocked_pairs(spark, sf_dir).select("entity_id", "cand_id", *[F.round(c, 6).alias(n) if n in shares else c.alias(n) for n, c in found.items()])
-
-
-def _two_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    found, selfs = {}, W.entities(spark, sf_dir)[0].select("entity_id")
-    for stream in ("name", "addr"):
-        index, asked = _index(spark, sf_dir, stream)
-        found[stream] = bm25.search(index, asked, K).select(F.col("query_id").alias("entity_id"), F.col("id").alias("cand_id"), "rank", "score")
-        selfs = selfs.join(bm25.self_scores(index, asked).select(F.col("query_id").alias("entity_id"), F.col("self_score").alias(f"bm25_{stream}_self_score")), "entity_id")
-    return candidates.tag_streams(**found), selfs
+    return _candidate_pairs(spark, sf_dir).select("entity_id", "cand_id", *[F.round(c, 6).alias(n) if n in shares else c.alias(n) for n, c in found.items()])
 
 
 @query(_STREAMS + " SELECT * FROM merged")
 def merged_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidates.merge_streams(_two_streams(spark, sf_dir)[0])
+    return candidates.merge_streams(_two_streams(*W.entities(spark, sf_dir))[0])
 
 
 @query(_STREAMS + " SELECT *, CAST(row_number() OVER (PARTITION BY entity_id ORDER BY stream_count DESC, rank_name NULLS LAST, rank_addr NULLS LAST, cand_id) AS INTEGER) AS seq FROM merged")
 def prioritised_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidates.prioritise(candidates.merge_streams(_two_streams(spark, sf_dir)[0]))
+    return candidates.prioritise(candidates.merge_streams(_two_streams(*W.entities(spark, sf_dir))[0]))
 
 
 _RATIO = "round(least(length({0}), length({1})) / greatest(length({0}), length({1}), 1), 6)"
@@ -277,8 +287,9 @@ round(coalesce(1.0 / (60 + rank_name), 0) + coalesce(1.0 / (60 + rank_addr), 0),
 CASE b.source WHEN 'S3' THEN 1 ELSE 0 END AS dim_25_source_origin, a.country AS dim_26_country_raw
 FROM merged m JOIN clean a ON m.entity_id = a.entity_id JOIN clean b ON m.cand_id = b.entity_id JOIN ns ON ns.query_id = m.entity_id JOIN sa ON sa.query_id = m.entity_id""")
 def stream_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    streams, selfs = _two_streams(spark, sf_dir)
-    pairs = candidates.enrich(candidates.merge_streams(streams), *W.entities(spark, sf_dir)).join(selfs, "entity_id").withColumnsRenamed({"score_name": "bm25_name_score", "score_addr": "bm25_addr_score"})
+    queries, targets = W.entities(spark, sf_dir)
+    streams, selfs = _two_streams(queries, targets)
+    pairs = candidates.enrich(candidates.merge_streams(streams), queries, targets).join(selfs, "entity_id").withColumnsRenamed({"score_name": "bm25_name_score", "score_addr": "bm25_addr_score"})
     shares = {"dim_14_name_bm25_norm", "dim_15_addr_bm25_norm", "dim_16_rrf_score", "dim_18_name_len_ratio", "dim_19_addr_len_ratio"}
     return pairs.select("entity_id", "cand_id", *[F.round(c, 6).alias(n) if n in shares else c.alias(n) for n, c in X.stream_metadata().items()])
 
@@ -353,15 +364,15 @@ def unseen_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Labels and metrics ---------------------------------------------------------------------------------------------
 
-_TRUTH = "truth AS (SELECT a.entity_id, b.entity_id AS cand_id FROM raw a JOIN raw b ON a.source = 'S1' AND b.source = 'S2' AND a.country = b.country AND a.key % 100 = b.key % 100)"
+_TRUTH = "truth AS (SELECT a.entity_id, b.entity_id AS cand_id FROM raw a JOIN raw b ON a.source = 'S1' AND b.source <> 'S1' AND a.country = b.country AND a.key % 100 = b.key % 100)"
 _SCORED = "s AS (SELECT source AS entity_id, CAST(doc_id AS VARCHAR) AS cand_id, quality AS label, (n_chars % 100) / 100.0::DOUBLE AS prob, lang AS country, doc_id % 5 AS fold FROM labels JOIN documents USING (doc_id))"
 _F = """SELECT t, entity_id, count(*) FILTER (prob > t AND label = 1) AS tp, count(*) FILTER (prob > t AND label = 0) AS fp, count(*) FILTER (prob <= t AND label = 1) AS fn FROM s, g GROUP BY t, entity_id"""
 _MACRO = f"f AS (SELECT t, avg(CASE WHEN tp + fn = 0 THEN CASE WHEN fp = 0 THEN 1.0 ELSE 0.0 END WHEN tp = 0 THEN 0.0 ELSE 1.25 * (tp / (tp + fp)) * (tp / (tp + fn)) / (0.25 * (tp / (tp + fp)) + tp / (tp + fn)) END) AS macro_f FROM ({_F}) GROUP BY t)"
 
 
-@query(f"WITH {ENTITIES}, {_TRUTH}, {_PAIRS} SELECT p.entity_id, p.cand_id, CAST(t.cand_id IS NOT NULL AS TINYINT) AS label FROM pairs p LEFT JOIN truth t ON p.entity_id = t.entity_id AND p.cand_id = t.cand_id")
+@query(f"WITH {ENTITIES}, {_TRUTH}, pairs AS (SELECT a.entity_id, b.entity_id AS cand_id FROM clean a JOIN clean b ON a.country = b.country AND a.source = 'S1' AND b.source <> 'S1' AND b.key % 100 IN (a.key % 100, (a.key + 1) % 100)) SELECT p.entity_id, p.cand_id, CAST(t.cand_id IS NOT NULL AS TINYINT) AS label FROM pairs p LEFT JOIN truth t ON p.entity_id = t.entity_id AND p.cand_id = t.cand_id")
 def truth_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidates.label(W.blocked_pairs(spark, sf_dir).select("entity_id", "cand_id"), explode_truth(W.truth(spark, sf_dir)))
+    return candidates.label(W.blocked_pairs(spark, sf_dir), explode_truth(W.truth(spark, sf_dir)))
 
 
 @query(f"WITH {ENTITIES}, {_TRUTH}, {_entity_bm25('name')}, p AS (SELECT query_id AS entity_id, id AS cand_id FROM name_ranked WHERE rank <= 20), c AS (SELECT (SELECT count(*) FROM p) AS n_pairs, (SELECT count(*) FROM clean WHERE source = 'S1') * (SELECT count(*) FROM clean WHERE source <> 'S1') AS all_pairs, (SELECT count(*) FROM truth) AS true_pairs, (SELECT count(*) FROM truth SEMI JOIN p USING (entity_id, cand_id)) AS true_found) SELECT n_pairs, all_pairs, round(1 - n_pairs / all_pairs, 9) AS reduction_ratio, true_pairs, true_found, round(true_found / true_pairs, 9) AS recall_ceiling FROM c")

@@ -32,16 +32,16 @@ def entities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Clean queries (S1) and targets (S2 and S3) with ``pos``, written once: cleaning is not repeated by what reads them."""
     made = {}
     for k, (source, raw) in enumerate(raw_entities(spark, sf_dir).items()):
-        made[source] = clean(raw, source).join(raw.select("entity_id", (F.col("key") * 2 + k % 2).alias("pos")), "entity_id")
+        made[source] = clean(raw, source).withColumn("pos", F.substring_index("entity_id", "-", -1).cast("long") * 2 + k % 2)  # the key is in the id
     return written(made["S1"]), written(made["S2"].unionByName(made["S3"]))
 
 
 def blocked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """entity_id, cand_id, name_a, name_b, addr_a, addr_b of all suppliers and customers of a country."""
+    """entity_id, cand_id of all suppliers with the customers and parts of their country whose numbers end like theirs or like the next."""
     queries, targets = entities(spark, sf_dir)
-    a = queries.select("country", "entity_id", F.col("name_for_bm25").alias("name_a"), F.col("addr_for_bm25").alias("addr_a"))
-    b = targets.where("source = 'S2'").select("country", F.col("entity_id").alias("cand_id"), F.col("name_for_bm25").alias("name_b"), F.col("addr_for_bm25").alias("addr_b"))
-    return a.join(b, "country")
+    end = F.pmod(F.regexp_extract("entity_id", r"\d+$", 0).cast("long"), F.lit(100))
+    a = queries.select("country", "entity_id", F.explode(F.array(end, (end + 1) % 100)).alias("end"))
+    return a.join(targets.select("country", F.col("entity_id").alias("cand_id"), end.alias("end")), ["country", "end"]).select("entity_id", "cand_id")
 
 
 def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,9 +57,9 @@ def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """entity_id, matched_entity_ids: customers of a supplier's country whose numbers end alike."""
+    """entity_id, matched_entity_ids: customers and parts of a supplier's country whose numbers end alike."""
     raw = raw_entities(spark, sf_dir)
     a = raw["S1"].select("country", "entity_id", (F.col("key") % 100).alias("end"))
-    b = raw["S2"].select("country", F.col("entity_id").alias("cand"), (F.col("key") % 100).alias("end"))
+    b = raw["S2"].unionByName(raw["S3"]).select("country", F.col("entity_id").alias("cand"), (F.col("key") % 100).alias("end"))
     found = a.join(b, ["country", "end"]).groupBy("entity_id").agg(F.array_join(F.array_sort(F.collect_list("cand")), ",").alias("matched_entity_ids"))
     return a.select("entity_id").join(found, "entity_id", "left").select("entity_id", F.coalesce("matched_entity_ids", F.lit("")).alias("matched_entity_ids"))
