@@ -25,6 +25,18 @@ def test_encoder_is_exact(path, monkeypatch):
     assert own.encode(texts) == [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_rule_for_latin_letters_is_exact(path):
+    own, whole = tokens.Encoder(path, remembered=200), Tokenizer.from_file(path)
+    assert own.rule is not None
+    r = random.Random(5)
+    letters = [chr(c) for c in (*range(0x180), *range(0x2010, 0x2028))]
+    texts = [x for c in letters for x in (c, f"a{c}B", f"a {c} '{c}", f"1{c}2 {c}{c}", f"{c}\u0301")]
+    texts += ["".join(r.choice(some) for _ in range(r.randint(1, 14))) for some in (letters, "ab 'sStTreRvVmMlLdD9. !\n\t’") for _ in range(3000)]
+    assert sum(map(own._latin, texts)) > 6000
+    assert own.encode(texts) == [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def best_fit(lengths, capacity):
     """Sequences a plain best-fit packer takes, longest first."""
     free, n = [], 0
