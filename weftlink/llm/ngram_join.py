@@ -8,8 +8,8 @@ verified exactly.
 
 A group of copies makes no pairs: equal sets are one representative, every n-gram's list is
 compared with one of its members first, and only members that these links leave in different
-components are compared with one another; long lists of them are cut by bands of MinHash values
-first. So no link is lost between components, and the number of pairs follows the number of
+components are compared with one another; those of long lists meet by bands of MinHash values
+instead. So no link is lost between components, and the number of pairs follows the number of
 documents as long as similar documents form groups.
 
 Every link lies within a component. Links are counted there, all sets with all: blocks of sets are
@@ -39,7 +39,7 @@ TOLERANCE = 1e-6
 COMMON_SHARE, LEAST_COMMON = 1 / 500, 50
 #: Counters in which common n-grams are found.
 _COUNTERS = 22
-#: Lists with more members than this whose components differ are cut by bands of so many MinHash values.
+#: Members of lists longer than this whose components differ meet by bands of so many MinHash values.
 SPLIT_MEMBERS, BAND = 8, 4
 #: Characters handled at a time.
 SPAN = 1 << 18
@@ -462,18 +462,18 @@ def _across(open_: DataFrame, threshold: float) -> DataFrame:
     return met.select(F.least("row", "r1").alias("a"), F.greatest("row", "r1").alias("b")).distinct()
 
 
-def _by_band(long: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """Long lists cut by bands of MinHash values: members meet only if they agree in all BAND values of some band.
+def _by_band(long: DataFrame, sets: DataFrame) -> DataFrame:
+    """One list for each band of MinHash values instead of long lists: members meet only if they agree in all BAND values of some band.
 
-    Sets of similarity 0.8 miss one another in all 32 bands of 4 with a probability of 5e-8, far
-    below the pruning's tolerance; those of similarity 0.15 meet in one with 1.6 %. So pairs of unlike
+    A member is in as many lists as there are bands, whatever the number of its long lists. Sets of
+    similarity 0.8 miss one another in all 32 bands of 4 with a probability of 5e-8, far below the
+    pruning's tolerance; those of similarity 0.15 meet in one with 1.6 %. So pairs of unlike
     members still grow with the square of a list, but are few of all.
     """
     values = F.concat("first", "others")
     bands = F.array(*[F.xxhash64(F.lit(j), F.substring(values, 4 * BAND * j + 1, 4 * BAND)) for j in range(HASHES // BAND)])
-    rows = scratch.keep(long.select("row").distinct().join(sets.select("row", bands.alias("bands")), "row"), "bands")
-    cut = long.join(rows, "row").select("row", "n", "pos", "part", "key", F.explode("bands").alias("band"))
-    return cut.select(F.xxhash64("key", "band").alias("key"), "row", "n", "pos", "part")
+    members = long.select("row", "part").distinct().join(sets.select("row", "n", bands.alias("bands")), "row")
+    return members.select(F.explode("bands").alias("key"), "row", "n", F.lit(0).alias("pos"), "part")
 
 
 def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, count: bool = True, scratch: Scratch | None = None) -> DataFrame:
@@ -516,7 +516,7 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
     left = _across(open_.where(F.col("members") <= SPLIT_MEMBERS), threshold)
     long = open_.where(F.col("members") > SPLIT_MEMBERS)
     if long.take(1):
-        left = left.unionByName(_across(_by_band(long, sets, scratch), threshold)).distinct()
+        left = left.unionByName(_across(_by_band(long, sets), threshold)).distinct()
     left = scratch.keep(left.join(pairs, ["a", "b"], "left_anti"), "left")
     more, others = _verified(left, sets, base, scratch, "more", words, threshold, tolerance)
     links = links.unionByName(more)
