@@ -144,3 +144,47 @@ def test_oddities(odd, none):
     assert left.columns == odd.columns
     assert sorted(repr(naive(r.text)) for r in left.collect() if naive(r.text)) == sorted({repr(naive(r.text)) for r in odd.collect() if naive(r.text)} - {repr(naive(prose(2, 60) + " end"))})
     assert similar(none).count() == one_of_each(none).count() == 0
+
+
+def test_long_lists_make_no_pairs(spark, monkeypatch):
+    """A group of edited copies without their base: most share long lists and are not linked; rows follow the members, not their pairs."""
+    r = random.Random(11)
+    rows = []
+    for base in (prose(6000, 150).split(), prose(6001, 150).split()):
+        for _ in range(250):
+            own = list(base)
+            for _ in range(r.randint(1, 5)):
+                own[r.randrange(150)] = f"w{r.randint(0, 99999)}"
+            rows.append((len(rows), " ".join(own)))
+    made = {}
+    keep = Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, name: made.setdefault(name, keep(self, df, name).cache()))
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 100)  # lists and groups are several blocks
+    got = similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    groups = {}
+    for x in got:
+        groups.setdefault(x.class_id, []).append(x.doc_id)
+    assert sorted(tuple(sorted(g, key=repr)) for g in groups.values()) == classes(rows) and 20 < len(groups) < 480
+    assert {x.doc_id: x.n_links for x in got} == links(rows)
+    assert made["suspects"].count() > 0
+    assert sum(made[name].count() for name in ("pairs", "left", "suspects")) < 10 * len(rows)  # of 62,250 pairs of a base
+    plain = similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), count=False).collect()
+    assert {x.doc_id: x.class_id for x in plain} == {x.doc_id: x.class_id for x in got}
+
+
+def test_likely_labels():
+    rng = np.random.default_rng(2)
+    whole = rng.integers(0, 2**63, 200).astype(np.uint64)
+    sets = [np.unique(np.r_[whole[:120][rng.random(120) > 0.07], rng.integers(0, 2**63, 9).astype(np.uint64)]) for _ in range(60)]
+    sets += [np.unique(np.r_[whole[120:140], rng.integers(0, 2**63, 100).astype(np.uint64)]) for _ in range(60)]  # a passage, not alike
+    n, pos, part = np.array([len(x) for x in sets]), np.zeros(len(sets), np.int64), np.arange(len(sets)) // 2 * 2
+    bits = np.stack([ngram_join.low_bits(min_hashes(x)) for x in sets]).view(np.uint64)
+    least = least_matches(0.9, 1e-6)[-1][1]
+    for split in (0, 50):
+        label = ngram_join.likely_labels(n, pos, part, bits, split, 0.8, least, tile=16)
+        for i in range(len(sets)):
+            assert label[i] == label[part[i]] == label[label[i]] <= i
+            for j in range(i):
+                if (not split or j < split <= i) and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j])):
+                    assert label[i] == label[j]
+        assert len(np.unique(label[60:])) == 30  # only parts

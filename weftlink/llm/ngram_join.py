@@ -8,12 +8,13 @@ verified exactly.
 
 A group of copies makes no pairs: equal sets are one representative, every n-gram's list is
 compared with one of its members first, and only members that these links leave in different
-components are compared with one another; those of long lists meet by bands of MinHash values
-instead. So no link is lost between components, and the number of pairs follows the number of
-documents as long as similar documents form groups.
+components are compared with one another. Members of a long list are so compared in one worker, a
+block of them with a block: a forest of the pairs that pass the pruning leaves it, not the pairs. So
+no link is lost between components, and the rows follow the number of documents, whatever the lists.
 
-Every link lies within a component. Links are counted there, all sets with all: blocks of sets are
-multiplied as matrices of n-grams, and only the counts leave the worker.
+Every link lies within a component of what passed. Links are found and counted there, all sets with
+all: blocks of sets are multiplied as matrices of n-grams, and only counts and a forest of the links
+leave the worker. The arithmetic of both, not the rows, grows with the square of a group.
 """
 
 from __future__ import annotations
@@ -39,11 +40,11 @@ TOLERANCE = 1e-6
 COMMON_SHARE, LEAST_COMMON = 1 / 500, 50
 #: Counters in which common n-grams are found.
 _COUNTERS = 22
-#: Members of lists longer than this whose components differ meet by bands of so many MinHash values.
-SPLIT_MEMBERS, BAND = 8, 4
+#: Members of lists longer than this whose components differ are compared in blocks, without rows for pairs.
+SPLIT_MEMBERS = 8
 #: Characters handled at a time.
 SPAN = 1 << 18
-#: About so many sets, or n-grams, of a component are in one block when its links are counted.
+#: About so many sets, or n-grams, of a component are in one block when its links are counted; so many members of a list, too.
 BLOCK_SETS, BLOCK_GRAMS = 4096, 1 << 20
 #: Sets and n-grams multiplied at a time, and members from which on an n-gram is a column.
 TILE, PANEL, FREQUENT = 1024, 4096, 16
@@ -190,8 +191,13 @@ def prefix(grams: np.ndarray, common: tuple[np.ndarray, np.ndarray], threshold:
     return grams[first], often[first]
 
 
+def low_bits(hashes: np.ndarray) -> np.ndarray:
+    """The lowest bit of every MinHash value, as two 64-bit numbers: values that differ share it one time in two."""
+    return np.packbits((hashes & np.uint32(1)).astype(np.uint8)).view(np.int64)
+
+
 def _sketch(docs: DataFrame, common, words: int, threshold: float) -> DataFrame:
-    """sha, sig, n, hashes (the first STEP, then the others), grams and common of every text with words."""
+    """sha, sig, n, hashes (the first STEP, then the others), their lowest bits, grams and common of every text with words."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,6 +208,7 @@ def _sketch(docs: DataFrame, common, words: int, threshold: float) -> DataFrame:
                 keep = [k for k, x in enumerate(sets) if len(x)]
                 firsts = [prefix(sets[k], shared.value, threshold) for k in keep]
                 hashes = [min_hashes(sets[k]) for k in keep]
+                bits = np.stack([low_bits(x) for x in hashes]) if keep else np.empty((0, 2), np.int64)
                 yield pd.DataFrame(
                     {
                         "sha": part["sha"].to_numpy()[keep],
@@ -209,12 +216,14 @@ def _sketch(docs: DataFrame, common, words: int, threshold: float) -> DataFrame:
                         "n": [len(sets[k]) for k in keep],
                         "first": [x[:STEP].tobytes() for x in hashes],
                         "others": [x[STEP:].tobytes() for x in hashes],
+                        "low": bits[:, 0],
+                        "high": bits[:, 1],
                         "grams": [g.view(np.int64) for g, _ in firsts],
                         "common": [c for _, c in firsts],
                     }
                 )
 
-    return docs.mapInPandas(tidy(run), "sha string, sig binary, n int, first binary, others binary, grams array<long>, common array<boolean>")
+    return docs.mapInPandas(tidy(run), "sha string, sig binary, n int, first binary, others binary, low long, high long, grams array<long>, common array<boolean>")
 
 
 def _signature(grams: np.ndarray) -> bytes:
@@ -270,6 +279,20 @@ def _may_reach(n: tuple[str, str], pos: tuple[str, str], threshold: float) -> F.
     return sizes & (F.least(F.col(x) - F.col(pos[0]), F.col(y) - F.col(pos[1])) >= need)
 
 
+def _whole(rows: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratch, name: str, words: int) -> DataFrame:
+    """row, grams: the whole sets of these rows, made from their texts again."""
+    wanted = scratch.keep(rows.join(sets.select("row", "sha"), "row"), f"{name}_wanted")
+    texts = docs.join(small(wanted.select("sha")), "sha", "left_semi").groupBy("sha").agg(F.any_value("text").alias("text"))
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for a in range(0, len(batch), 500):
+                part = batch.iloc[a : a + 500]
+                yield pd.DataFrame({"sha": part["sha"].to_numpy(), "grams": [x.tobytes() for x in shingle_sets(part["text"].tolist(), words)]})
+
+    return scratch.keep(texts.select("sha", "text").mapInPandas(tidy(whole), "sha string, grams binary").join(wanted, "sha").select("row", "grams"), f"{name}_grams")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratch, name: str, words: int, threshold: float, tolerance: float) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of rows that reach the threshold, pruned by MinHash, then verified on the whole sets; and those sets (row, grams)."""
     steps = least_matches(threshold, tolerance)
@@ -299,17 +322,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scrat
         left = scratch.keep(left, f"{name}_{part}")
     likely = left.select("a", "b")
 
-    wanted = likely.select(F.col("a").alias("row")).union(likely.select("b")).distinct().join(sets.select("row", "sha"), "row")
-    wanted = scratch.keep(wanted, f"{name}_wanted")
-    texts = docs.join(small(wanted.select("sha")), "sha", "left_semi").groupBy("sha").agg(F.any_value("text").alias("text"))
-
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for a in range(0, len(batch), 500):
-                part = batch.iloc[a : a + 500]
-                yield pd.DataFrame({"sha": part["sha"].to_numpy(), "grams": [x.tobytes() for x in shingle_sets(part["text"].tolist(), words)]})
-
-    grams = scratch.keep(texts.select("sha", "text").mapInPandas(tidy(whole), "sha string, grams binary").join(wanted, "sha").select("row", "grams"), f"{name}_grams")
+    grams = _whole(likely.select(F.col("a").alias("row")).union(likely.select("b")).distinct(), sets, docs, scratch, name, words)
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -324,11 +337,26 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scrat
     return scratch.keep(met.select("a", "b", "x", "y").mapInPandas(tidy(exact), "a long, b long, similarity double"), name), grams
 
 
-def count_links(sets: list[np.ndarray], weights: np.ndarray, split: int, threshold: float, tile: int = TILE, panel: int = PANEL, frequent: int = FREQUENT) -> np.ndarray:
+def merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Gives places i and j of every pair one label, and all places that had theirs; a label is the first place that has it."""
+    while True:
+        a, b = label[i], label[j]
+        differ = a != b
+        if not differ.any():
+            return
+        i, j, a, b = i[differ], j[differ], a[differ], b[differ]
+        home = np.arange(len(label))
+        np.minimum.at(home, np.maximum(a, b), np.minimum(a, b))
+        while (home[home] != home).any():
+            home = home[home]
+        label[:] = home[label]
+
+
+def count_links(sets: list[np.ndarray], weights: np.ndarray, split: int, threshold: float, tile: int = TILE, panel: int = PANEL, frequent: int = FREQUENT, label: np.ndarray | None = None) -> np.ndarray:
     """Per set the weight of the sets that reach the threshold with it.
 
     With ``split`` the sets before it are compared with those from it on; with 0 all are compared
-    with all, themselves included.
+    with all, themselves included. Labels, if given, are merged along the links.
     """
     n = np.array([len(x) for x in sets], np.int64)
     owner = np.repeat(np.arange(len(sets)), n)
@@ -381,27 +409,42 @@ def count_links(sets: list[np.ndarray], weights: np.ndarray, split: int, thresho
             if x == y:
                 np.fill_diagonal(shared, n[x[0] : x[1]])  # n-grams of one set alone are in no column
                 np.fill_diagonal(both, n[x[0] : x[1]])
-            hit = (shared / both >= threshold - 1e-12).astype(np.float64)
+            hit = shared / both >= threshold - 1e-12
+            if label is not None:
+                i, j = np.nonzero(hit & (label[x[0] : x[1], None] != label[None, y[0] : y[1]]))
+                merge(label, i + x[0], j + y[0])
+            hit = hit.astype(np.float64)
             out[x[0] : x[1]] += (hit @ weights[y[0] : y[1]]).astype(np.int64)
             if x != y:
                 out[y[0] : y[1]] += (weights[x[0] : x[1]] @ hit).astype(np.int64)
     return out
 
 
+def _blocks(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
+    """``rows`` with own, x, y: groups of a key cut into ``blocks`` (key, blocks) by a hash of the row, every two of which meet.
+
+    What is shipped grows with the blocks of a group, not with its pairs.
+    """
+    n = F.coalesce("blocks", F.lit(1))
+    cut = rows.join(small(blocks), key, "left").select(*rows.columns, F.pmod(F.xxhash64("row"), n).cast("int").alias("own"), n.alias("__n"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
+    return cut.select(*rows.columns, "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+
+
+def _dealt(met: DataFrame, key: str) -> DataFrame:
+    """Groups of a key and two blocks, each whole in one partition, rows of block x first."""
+    return met.repartition(key, "x", "y").sortWithinPartitions(key, "x", "y", "own")
+
+
 def _degrees(parts: DataFrame, sets: DataFrame, grams: DataFrame, weights: DataFrame, scratch: Scratch, threshold: float) -> DataFrame:
-    """row, linked: the weight (documents) of the sets that reach the threshold with it, its own included.
+    """row, linked, root: the weight (documents) of sets that reach the threshold with it, its own included, block by block.
 
-    A large component is cut into blocks by a hash of the row, and every two of its blocks meet in
-    one group: what is shipped grows with the blocks of a component, not with its pairs.
+    ``root`` is a row that links lead to, the same for all rows of a block that they connect.
     """
     placed = scratch.keep(parts.join(sets.select("row", "n"), "row").select("row", "component", "n"), "placed")
     sizes = placed.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks")).where("blocks > 1")
-    blocks = F.coalesce("blocks", F.lit(1))
-    cut = placed.join(small(sizes), "component", "left").select("row", "component", F.pmod(F.xxhash64("row"), blocks).cast("int").alias("own"), blocks.alias("blocks"))
-    met = cut.select("row", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    met = met.select("row", "component", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    met = _blocks(placed.select("row", "component"), "component", sizes)
     met = met.join(weights.select(F.col("head").alias("row"), "weight"), "row").join(grams, "row")
-    met = met.select("component", "x", "y", "own", "row", "weight", "grams").repartition("component", "x", "y").sortWithinPartitions("component", "x", "y", "own")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []  # rows of a group that may go on in the next batch
@@ -423,13 +466,16 @@ def _degrees(parts: DataFrame, sets: DataFrame, grams: DataFrame, weights: DataF
 
     def group(held: list[pd.DataFrame]) -> pd.DataFrame:
         all_ = held[0] if len(held) == 1 else pd.concat(held)
-        split = 0 if all_["x"].iat[0] == all_["y"].iat[0] else int((all_["own"] == all_["x"]).sum())
-        if split == len(all_) or all_["x"].iat[0] != all_["y"].iat[0] and not split:  # the other block is empty
-            return pd.DataFrame({"row": all_["row"], "linked": 0})
-        found = count_links([np.frombuffer(x, np.uint64) for x in all_["grams"]], all_["weight"].to_numpy(np.float64), split, threshold)
-        return pd.DataFrame({"row": all_["row"].to_numpy(), "linked": found})
+        rows, apart = all_["row"].to_numpy(), all_["x"].iat[0] != all_["y"].iat[0]
+        split = int((all_["own"] == all_["x"]).sum()) if apart else 0
+        if apart and split in (0, len(all_)):  # the other block is empty
+            return pd.DataFrame({"row": rows, "linked": 0, "root": rows})
+        label = np.arange(len(rows))
+        found = count_links([np.frombuffer(x, np.uint64) for x in all_["grams"]], all_["weight"].to_numpy(np.float64), split, threshold, label=label)
+        return pd.DataFrame({"row": rows, "linked": found, "root": rows[label]})
 
-    return met.mapInPandas(tidy(run), "row long, linked long").groupBy("row").agg(F.sum("linked").alias("linked"))
+    dealt = _dealt(met.select("component", "x", "y", "own", "row", "weight", "grams"), "component")
+    return scratch.keep(dealt.mapInPandas(tidy(run), "row long, linked long, root long"), "degree")
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -462,19 +508,83 @@ def _across(open_: DataFrame, threshold: float) -> DataFrame:
     return met.select(F.least("row", "r1").alias("a"), F.greatest("row", "r1").alias("b")).distinct()
 
 
-def _by_band(long: DataFrame, sets: DataFrame) -> DataFrame:
-    """One list for each band of MinHash values instead of long lists: members meet only if they agree in all BAND values of some band.
+def likely_labels(n: np.ndarray, pos: np.ndarray, part: np.ndarray, bits: np.ndarray, split: int, threshold: float, least: int, tile: int = TILE) -> np.ndarray:
+    """Labels of members of a list: those of one part have the same, and so have those of a pair with ``least`` bits alike.
+
+    With ``split`` the members before it are compared with those from it on, else all with all. Pairs
+    whose labels are the same already need no comparison; those within the largest part never do.
+    """
+    _, first, own = np.unique(part, return_index=True, return_inverse=True)
+    label = first[own].copy()
+    main = own == np.bincount(own).argmax()
+    light, all_ = np.flatnonzero(~main), np.arange(len(n))
+    need, left = threshold / (1 + threshold), n - pos
+
+    def meet(x: np.ndarray, y: np.ndarray) -> None:
+        for a in range(0, len(x), tile // 4):
+            r = x[a : a + tile // 4, None]
+            for b in range(0, len(y), tile):
+                c = y[None, b : b + tile]
+                may = (label[r] != label[c]) & (np.minimum(n[r], n[c]) >= threshold * np.maximum(n[r], n[c]) - 1e-6)
+                i, j = np.nonzero(may & (np.minimum(left[r], left[c]) >= need * (n[r] + n[c]) - 1e-6))
+                p, q = r[i, 0], c[0, j]
+                go = HASHES - np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64) >= least
+                merge(label, p[go], q[go])
+
+    if split:
+        meet(light[light < split], all_[split:])
+        meet(all_[:split][main[:split]], light[light >= split])
+    else:
+        meet(light, all_)
+    return label
+
+
+def _suspects(long: DataFrame, sets: DataFrame, scratch: Scratch, threshold: float, tolerance: float) -> DataFrame:
+    """Pairs (a, b) of rows that connect the members of a long list (key, row, n, pos, part, members) that MinHash does not tell apart.
 
-    A member is in as many lists as there are bands, whatever the number of its long lists; its
-    place is that of its first n-gram with a long list, since it shares none of these before. Sets of
-    similarity 0.8 miss one another in all 32 bands of 4 with a probability of 5e-8, far below the
-    pruning's tolerance; those of similarity 0.15 meet in one with 1.6 %. So pairs of unlike
-    members still grow with the square of a list, but are few of all.
+    At most one pair a member and two blocks, however many pass; what is in one component of them
+    and of the links so far may be linked, and nothing else of a long list is. A member is in many
+    lists and travels with one bit of each value, alike for (1 + similarity) / 2 of them.
     """
-    values = F.concat("first", "others")
-    bands = F.array(*[F.xxhash64(F.lit(j), F.substring(values, 4 * BAND * j + 1, 4 * BAND)) for j in range(HASHES // BAND)])
-    members = long.groupBy("row", "part").agg(F.min("pos").alias("pos")).join(sets.select("row", "n", bands.alias("bands")), "row")
-    return members.select(F.explode("bands").alias("key"), "row", "n", "pos", "part")
+    least = least_matches((1 + threshold) / 2, tolerance)[-1][1]
+    blocks = long.select("key", F.ceil(F.col("members") / BLOCK_SETS).cast("int").alias("blocks")).where("blocks > 1").distinct()
+    met = _blocks(long.select("key", *_MEMBER[1:], "part"), "key", blocks)
+    met = met.join(sets.select("row", "low", "high"), "row")
+
+    names = ["key", "x", "y", "own", "n", "pos", "part", "low", "high"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = [np.empty((len(names), 0), np.int64)]  # rows of a group that may go on in the next batch
+        for batch in batches:
+            if not len(batch):
+                continue
+            now = np.stack([batch[c].to_numpy(np.int64) for c in names])
+            start = np.flatnonzero((now[:3] != now[:3, -1:]).any(axis=0))
+            end = start[-1] + 1 if len(start) else 0  # from here on all rows are of the last group
+            if end or last[-1].shape[1] and (last[-1][:3, -1] != now[:3, 0]).any():
+                yield groups(np.concatenate([*last, now[:, :end]], axis=1))
+                last = []
+            last.append(now[:, end:])
+        yield groups(np.concatenate(last, axis=1))
+
+    def groups(all_: np.ndarray) -> pd.DataFrame:
+        first = np.flatnonzero(np.r_[True, (all_[:3, 1:] != all_[:3, :-1]).any(axis=0)]) if all_.shape[1] else np.empty(0, np.int64)
+        pairs = [np.empty((2, 0), np.int64)]
+        for a, b in zip(first, np.r_[first[1:], all_.shape[1]], strict=True):
+            x, y = all_[1:3, a]
+            split = int((all_[3, a:b] == x).sum()) if x != y else 0
+            if x != y and split in (0, b - a):  # the other block is empty
+                continue
+            n, pos, part = all_[4:7, a:b]
+            label = likely_labels(n, pos, part, all_[7:, a:b].T.copy().view(np.uint64), split, threshold, least)
+            to = part[label]
+            moved = to != part
+            pairs.append(np.stack([to[moved], part[moved]]))
+        a, b = np.unique(np.concatenate(pairs, axis=1), axis=1)
+        return pd.DataFrame({"a": a, "b": b})
+
+    found = _dealt(met.select("row", *names), "key").drop("row").mapInPandas(tidy(run), "a long, b long")
+    return scratch.keep(found.distinct(), "suspects")
 
 
 def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, count: bool = True, scratch: Scratch | None = None) -> DataFrame:
@@ -515,19 +625,31 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id", words: int
     mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("members")).where("low < high").select("key", "members")
     open_ = scratch.keep(placed.join(mixed, "key"), "open")
     left = _across(open_.where(F.col("members") <= SPLIT_MEMBERS), threshold)
-    long = open_.where(F.col("members") > SPLIT_MEMBERS)
-    if long.take(1):
-        left = left.unionByName(_across(_by_band(long, sets), threshold)).distinct()
     left = scratch.keep(left.join(pairs, ["a", "b"], "left_anti"), "left")
     more, others = _verified(left, sets, base, scratch, "more", words, threshold, tolerance)
-    links = links.unionByName(more)
-    parts = components(links, scratch, "classes")
-
+    links = links.select("a", "b").unionByName(more.select("a", "b"))
+    grams = grams.unionByName(others.join(grams.select("row"), "row", "left_anti"))
+    suspects = _suspects(open_.where(F.col("members") > SPLIT_MEMBERS), sets, scratch, threshold, tolerance)
+    open_groups = bool(suspects.take(1))
+    parts = components(links.unionByName(suspects) if open_groups else links, scratch, "groups")
+
+    weights = scratch.keep(member.groupBy("head").agg(F.sum("copies").alias("weight")), "weights")
+    degree = None
+    if count or open_groups:
+        whole_parts = parts
+        if not count:  # only groups that suspects connect may fall apart
+            touched = suspects.select(F.col("a").alias("row")).join(parts, "row").select("component").distinct()
+            whole_parts = scratch.keep(parts.join(small(touched), "component", "left_semi").select("row", "component"), "touched")
+        if open_groups:
+            lacking = whole_parts.select("row").join(grams.select("row"), "row", "left_anti")
+            grams = grams.unionByName(_whole(lacking, sets, base, scratch, "lacking", words))
+        degree = _degrees(whole_parts, sets, grams, weights, scratch, threshold)
+    if open_groups:
+        found = degree.where("root <> row").select(F.col("root").alias("a"), F.col("row").alias("b"))
+        parts = components(links.unionByName(found), scratch, "classes")
     if count:
-        weights = scratch.keep(member.groupBy("head").agg(F.sum("copies").alias("weight")), "weights")
-        grams = grams.unionByName(others.join(grams.select("row"), "row", "left_anti"))
-        degree = scratch.keep(_degrees(parts, sets, grams, weights, scratch, threshold), "degree")
         # A set without a link to another one has those of its own documents.
+        degree = degree.groupBy("row").agg(F.sum("linked").alias("linked"))
         degree = weights.join(degree, weights["head"] == degree["row"], "left").select(F.col("head").alias("row"), (F.coalesce("linked", "weight") - 1).alias("n_links"))
     facts = member.join(parts, member["head"] == parts["row"], "left").drop("row")
     facts = facts.join(degree, facts["head"] == degree["row"], "left") if count else facts.withColumn("n_links", F.lit(None).cast("long"))
