@@ -149,3 +149,34 @@ def test_codec(spark, odd, none, tmp_path):
         at += r.n_tokens
     token_codec.write_corpus(none, BYTE, f"{path}0")
     assert token_codec.read_corpus(spark, f"{path}0", Scratch(spark)).count() == 0
+
+
+def test_codec_asks_the_library_once_for_a_word(monkeypatch):
+    r, asked = random.Random(5), []
+    words = list({"".join(r.choices("abcdefgh", k=9)) for _ in range(210_000)})
+    own = tokens.Encoder(BYTE, token_codec.WORDS_KEPT)
+    own.words.make = lambda word: asked.append(word) or word.encode()
+    texts = [" ".join(words[a : a + 500]) for a in range(0, len(words), 500)]
+    for _ in range(2):  # as of two tasks
+        own.encode(texts)
+    assert len(asked) == len(set(asked))
+    few = tokens.Encoder(BYTE, 100)
+    few.encode(texts[:3])
+    assert not few.words.older.older  # two generations at most
+
+
+def test_quotient_is_exact():
+    r = np.random.default_rng(3)
+    b = np.r_[r.integers(1, 1 << 26, 20_000), r.integers(1, 64, 20_000), (1 << 20) + np.arange(-50, 50)]
+    q = r.integers(1, 1 << 26, len(b))
+    for a in (q * b, q * b - 1, q * b + b - 1):
+        a = np.minimum(a, (1 << 52) - 1)
+        assert (token_codec._quotient(a, b) == a // b).all()
+
+
+def test_many_blocks_together():
+    r = np.random.default_rng(4)
+    blocks = [r.integers(0, 30, 40).astype(np.uint32) for _ in range(520)]
+    data = token_codec.encode_blocks(blocks, 40)
+    assert all((x == y).all() for x, y in zip(token_codec.decode_blocks(data, [40] * 520, 40), blocks, strict=True))
+    assert data[3] == token_codec.encode_blocks(blocks[3:4], 40)[0]

@@ -37,6 +37,8 @@ from .tokens import Encoder
 END_ID = 2
 #: Ids after which a block ends with the document at hand, and blocks coded together and written to one file.
 BLOCK_IDS, TOGETHER = 1 << 20, 8
+#: Words that a worker remembers, over its tasks: about 250 MB. Every task meets some 300,000 words in 17 million characters.
+WORDS_KEPT = 1_200_000
 LANES = 1024
 MAGIC = b"WFT2"
 
@@ -66,6 +68,7 @@ class Mixture:
         # Where each lane's block begins in the tables of all blocks.
         self.in1, self.in2, self.in_states = block << 16, block << _TABLE, block * _STATES
         self.in_ids, self.in_ends, self.in_line = block * vocabulary, block * (vocabulary + 1), block << _BASE
+        self.narrow = np.int32 if self.blocks << _BASE < 1 << 31 else np.int64  # sorts and searches faster
         self.coded: list[np.ndarray] = []
         self.outcomes: list[np.ndarray] = []
         self.steps = 0
@@ -86,7 +89,7 @@ class Mixture:
         ends = np.zeros((self.blocks, self.size + 1), np.int64)
         np.cumsum(own, axis=1, out=ends[:, 1:])
         self.ends = ends.ravel()
-        self.line = (ends + (np.arange(self.blocks) << _BASE)[:, None]).ravel()  # ascending over all blocks
+        self.line = (ends + (np.arange(self.blocks) << _BASE)[:, None]).ravel().astype(self.narrow)  # ascending over all blocks
         most = (1 << _TOTAL) - (1 << _BASE)
         self.mass1 = (self.hits1 / self.tries * most).astype(np.int64)
         self.mass2 = (self.hits2 / self.tries * most).astype(np.int64)
@@ -96,48 +99,62 @@ class Mixture:
         m = self.m = len(before1)
         self.at1 = self.in1[:m] + (before1 & 0xFFFF)
         self.at2 = self.in2[:m] + (((before2 * 0x9E3779B1 + before1 * 0x85EBCA77) >> 9) & ((1 << _TABLE) - 1))
-        self.v1, self.v2 = self.table1[self.at1], self.table2[self.at2]
+        self.v1, self.v2 = self.table1.take(self.at1), self.table2.take(self.at2)
         self.p1, self.p2 = self.v1 >> 3, self.v2 >> 3
         self.c1, self.c2 = self.v1 & 7, self.v2 & 7
-        self.state = self.in_states[:m] + (self.c2 * (2 * _LEVELS) + self.c1 * 2 + (self.p1 == self.p2))
-        self.m1, self.m2 = self.mass1[self.state], self.mass2[self.state]
+        self.same = self.p1 == self.p2
+        self.state = self.in_states[:m] + (self.c2 * (2 * _LEVELS) + self.c1 * 2 + self.same)
+        self.m1, self.m2 = self.mass1.take(self.state), self.mass2.take(self.state)
         self.rest = (1 << _TOTAL) - self.m1 - self.m2
 
     def interval(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of these ids, of 2 ** _TOTAL."""
-        e = self.in_ends[: self.m] + x
-        a = (self.ends[e] * self.rest) >> _BASE
-        b = (self.ends[e + 1] * self.rest) >> _BASE
+        a, b = self._base(x)
         return a + self.m1 * (x > self.p1) + self.m2 * (x > self.p2), b - a + self.m1 * (x == self.p1) + self.m2 * (x == self.p2)
 
+    def _base(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of these ids in the order-0 share."""
+        e = self.in_ends[: self.m] + x
+        a, b = self.ends.take(e), self.ends.take(e + 1)
+        a *= self.rest
+        b *= self.rest
+        a >>= _BASE
+        b >>= _BASE
+        return a, b
+
     def find(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids whose intervals hold these points (beyond the last id's, the last), and the intervals."""
-        s1, w1 = self.interval(self.p1)
-        s2, w2 = self.interval(self.p2)
+        (s1, w1), (s2, w2) = self._base(self.p1), self._base(self.p2)
+        w1 += self.m1 + self.m2 * self.same - s1  # as interval() has them
+        w2 += self.m2 + self.m1 * self.same - s2
+        s1 += self.m2 * (self.p1 > self.p2)
+        s2 += self.m1 * (self.p2 > self.p1)
         d1, d2 = v - s1, v - s2
-        hit1, hit2 = (d1 >= 0) & (d1 < w1), (d2 >= 0) & (d2 < w2)
+        hit1, hit2 = d1.view(np.uint64) < w1.view(np.uint64), d2.view(np.uint64) < w2.view(np.uint64)  # below zero is beyond any width
         out = np.where(hit1, self.p1, self.p2).astype(np.int64)
         start, width = np.where(hit1, s1, s2), np.where(hit1, w1, w2)
         k = np.flatnonzero(~(hit1 | hit2))
-        rest, first, m1, m2 = self.rest[k], self.in_ends[k], self.m1[k], self.m2[k]
-        u = v[k] - m1 * (d1[k] > 0) - m2 * (d2[k] > 0)
+        rest, first = self.rest.take(k), self.in_ends.take(k)
+        m1, m2 = self.m1.take(k) * (d1.take(k) > 0), self.m2.take(k) * (d2.take(k) > 0)  # of the predictions before the point
+        u = v.take(k) - m1 - m2
         # The id whose scaled start is the last not beyond u: the first estimate is at most one off.
-        key = (u << _BASE) // rest + self.in_line[k]
+        key = (_quotient(u << _BASE, rest) + self.in_line.take(k)).astype(self.narrow)
         order = np.argsort(key)  # sorted keys find their places much faster
         x = np.empty(len(k), np.int64)
-        x[order] = np.searchsorted(self.line, key[order], "right")
+        x[order] = np.searchsorted(self.line, key.take(order), "right")
         x = np.minimum(x - 1 - first, self.size - 1)
-        x += (x < self.size - 1) & (((self.ends[first + np.minimum(x + 1, self.size)] * rest) >> _BASE) <= u)
-        a, b = (self.ends[first + x] * rest) >> _BASE, (self.ends[first + x + 1] * rest) >> _BASE
-        out[k], start[k], width[k] = x, a + m1 * (x > self.p1[k]) + m2 * (x > self.p2[k]), b - a
+        x += (x < self.size - 1) & (((self.ends.take(first + np.minimum(x + 1, self.size)) * rest) >> _BASE) <= u)
+        first += x
+        a, b = (self.ends.take(first) * rest) >> _BASE, (self.ends.take(first + 1) * rest) >> _BASE
+        out[k], start[k], width[k] = x, a + self.m1.take(k) * (x > self.p1.take(k)) + self.m2.take(k) * (x > self.p2.take(k)), b - a
         return out, start, width
 
     def learn(self, x: np.ndarray) -> None:
         """After a step. Where lanes share a context, the last lane's word counts."""
         right1, right2 = x == self.p1, x == self.p2
-        fresh = x * _LEVELS + 1
+        fresh = (x * _LEVELS + 1).astype(np.int32)
         for entries, at, v, c, right in ((self.table1, self.at1, self.v1, self.c1, right1), (self.table2, self.at2, self.v2, self.c2, right2)):
-            entries[at] = np.where(right, v + (c < _LEVELS - 1), np.where(c > 1, v - 1, fresh))
+            entries[at] = np.where(right, v + (c < _LEVELS - 1), np.where(c > 1, v - np.int32(1), fresh))
         self.coded.append(x + self.in_ids[: self.m])
         self.outcomes.append(self.state * 3 + np.where(right2, 2, right1))
         self.steps += 1
@@ -145,6 +162,11 @@ class Mixture:
             self._count()
 
 
+def _quotient(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a // b of numbers from 0 on, b > 0 and a below 2 ** 52: there a quotient of doubles never rounds up to a whole number."""
+    return (a / b).astype(np.int64)
+
+
 def _shape(n: int) -> tuple[int, int]:
     """Lanes and steps for n ids: short blocks get fewer lanes."""
     lanes = max(1, min(LANES, n // 64))
@@ -252,7 +274,7 @@ def decode_blocks(data: list[bytes], sizes: list[int], vocabulary: int) -> list[
     for t, m in enumerate(lanes.active):
         model.predict(before1[:m], before2[:m])
         unit = span[:m] >> _TOTAL
-        x, start, width = model.find(np.minimum((code[:m] - low[:m]) // unit, (1 << _TOTAL) - 1))
+        x, start, width = model.find(np.minimum(_quotient(code[:m] - low[:m], unit), (1 << _TOTAL) - 1))
         grid[t, :m] = x
         _narrow(low[:m], span[:m], unit, start, width, shift)
         model.learn(x)
@@ -311,7 +333,7 @@ def write_corpus(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     ordered = row.repartitionByRange("__id", "__row").sortWithinPartitions("__id", "__row").select(F.col("__id").cast("string").alias("__id"), "__text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, task = Encoder.of(tokenizer), TaskContext.get().partitionId()
+        encoder, task = Encoder.of(tokenizer, WORDS_KEPT), TaskContext.get().partitionId()
         vocabulary = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
         end = struct.pack("<I", end_id)
         full: list[list[Document]] = []
@@ -330,7 +352,6 @@ def write_corpus(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
                             yield pd.DataFrame({"data": write_blocks(task, number, full, vocabulary)})
                             full, number = [], number + TOGETHER
         full += [own] if own else []
-        encoder.forget()
         if full:
             yield pd.DataFrame({"data": write_blocks(task, number, full, vocabulary)})
 

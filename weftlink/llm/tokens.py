@@ -3,8 +3,8 @@
 Both vocabularies cut a text into words before they merge, and no merge crosses a word. So the
 ids of a text are those of its words in order. A text of Latin letters is cut into words by the
 tokenizer's own rule, written for these letters alone; any other one into chunks at white space,
-where the rule cuts, too. Words and chunks are remembered in bounded tables that a task empties at
-its end; plain words go straight to the library's merges, others through all of it, and a text
+where the rule cuts, too. Words and chunks are remembered in bounded tables that a worker keeps
+until its task, or its user, empties them; plain words go straight to the library's merges, others through all of it, and a text
 that cannot be cut safely goes there whole.
 """
 
@@ -70,7 +70,7 @@ class _Table(dict):
     def aged(self) -> _Table:
         """An empty table with this one behind it."""
         new = _Table(self.make)
-        new.older = dict(self)
+        self.older, new.older = {}, self
         return new
 
 
@@ -113,7 +113,7 @@ class Encoder:
         return cls._made[path, remembered]
 
     def forget(self) -> None:
-        """Empties the tables, at the end of a task."""
+        """Empties the tables."""
         self.table, self.words = _Table(self._encode_chunk), _Table(self._encode_word)
 
     def whole(self, text: str) -> bytes:
