@@ -3,7 +3,7 @@ from pathlib import Path
 
 import corpus_pipeline
 import weftlink
-from weftlink.llm import lang_id
+from weftlink.llm import common, lang_id
 
 from .conftest import prose
 
@@ -46,3 +46,15 @@ def test_nothing_else_imports_this_subpackage():
             for node in ast.walk(ast.parse(path.read_text())):
                 names = [node.module or ""] if isinstance(node, ast.ImportFrom) else [a.name for a in node.names] if isinstance(node, ast.Import) else []
                 assert not any("llm" in n.split(".") for n in names), path
+
+
+def test_grown_heap_of_the_driver_is_cleaned(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "_rested", [float("-inf")], raising=False)
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans if "Young" not in b.getName() and "Concurrent" not in b.getName())
+    scratch = common.Scratch(spark)
+    for share, cleaned in ((1.0, 0), (0.0, 1), (0.0, 0)):  # small enough; grown; grown, but cleaned just now
+        monkeypatch.setattr(common, "HEAP_SHARE", share, raising=False)
+        before = full()
+        scratch.keep(spark.range(3), f"t{share}{cleaned}")
+        assert (full() > before) == bool(cleaned)
